@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomtext.llm import mixing, simhash
+from loomtext.llm import mixing, simhash, toxicity
 from loomtext.llm.common import stored, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the labelled ones among ``docs``."""
+    return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the smallest doc_id."""
     return simhash.keep_one(docs)
@@ -19,6 +24,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("simhash_near_dedup", near_dedup),
     ("source_mixing", mix_sources),
 ]

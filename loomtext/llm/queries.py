@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import mixing, simhash
+from loomtext.llm import mixing, simhash, toxicity
 from loomtext.llm.common import table, word_count
 
 
@@ -51,8 +51,13 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
 SQL = {"op1_source_mixing": OP1_SQL}
