@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import mixing, simhash, toxicity
+from loomtext.llm import bpe, mixing, simhash, toxicity
 from loomtext.llm.common import table, word_count
 
 
@@ -47,6 +48,11 @@ FROM epochs
 """
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,7 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op5_byte_bpe": op5_byte_bpe,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
