@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, mixing, simhash, toxicity
+from loomtext.llm import bpe, mixing, pii, simhash, toxicity
 from loomtext.llm.common import table, word_count
 
 
@@ -53,6 +53,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
