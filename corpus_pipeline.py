@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomtext.llm import mixing, simhash, toxicity
+from loomtext.llm import bpe, mixing, pii, simhash, toxicity
 from loomtext.llm.common import stored, table
 
 
@@ -18,15 +20,34 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes format-preserving pseudonyms; every document stays."""
+    return pii.pseudonymise(docs, count=None)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix's copies, cut at each source's word budget; a row for each copy."""
     return mixing.mix_documents(docs)
 
 
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids, and digests of the ids and of what they decode to."""
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids="ids")
+    ids = F.col(coded.columns[-1])
+    return coded.withColumns({
+        "n_tokens": F.size(ids).cast("long"),
+        "ids_sha256": F.sha2(F.array_join(ids.cast("array<string>"), " ").cast("binary"), 256),
+        "decoded_sha256": F.sha2(bpe.decode(spark, ids, ranks), 256),
+    })
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", near_dedup),
+    ("pii_pseudonyms", mask_pii),
     ("source_mixing", mix_sources),
+    ("byte_bpe", tokenise),
 ]
 
 #: Learned scores and tokenizers are beyond SQL; tests hold the stages against brute force.
