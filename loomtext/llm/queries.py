@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, mixing, pii, simhash, toxicity
+from loomtext.llm import bpe, mixing, pii, quality, simhash, toxicity
 from loomtext.llm.common import table, word_count
 
 
@@ -57,6 +57,11 @@ def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
+    "op7_quality_llr": op7_quality_llr,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
