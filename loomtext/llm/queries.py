@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, mixing, pii, quality, simhash, toxicity
+from loomtext.llm import bpe, mixing, pii, quality, simhash, toxicity, warc
 from loomtext.llm.common import table, word_count
 
 
@@ -48,6 +48,22 @@ FROM epochs
 """
 
 
+def op3_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, read = warc.archive(table(spark, sf_dir, "pages"), payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes >= 1000) END AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM q
+"""
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -72,10 +88,11 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op3_warc_index_merge": op3_warc_index_merge,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op7_quality_llr": op7_quality_llr,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
-SQL = {"op1_source_mixing": OP1_SQL}
+SQL = {"op1_source_mixing": OP1_SQL, "op3_warc_index_merge": OP3_SQL}
