@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, mixing, pii, quality, simhash, toxicity, warc
+from loomtext.llm import bpe, embed_dedup, mixing, pii, quality, simhash, toxicity, warc
 from loomtext.llm.common import table, word_count
 
 
@@ -64,6 +64,10 @@ FROM q
 """
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -89,6 +93,7 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op3_warc_index_merge": op3_warc_index_merge,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op7_quality_llr": op7_quality_llr,
