@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, embed_dedup, mixing, pii, quality, simhash, toxicity, warc
+from loomtext.llm import bpe, embed_dedup, license_scan, mixing, pii, quality, simhash, toxicity, warc
 from loomtext.llm.common import table, word_count
 
 
@@ -82,6 +82,13 @@ def op7_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``: the table has no paths of its own."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return license_scan.scan(files).withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -97,6 +104,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op7_quality_llr": op7_quality_llr,
+    "op8_license_scan": op8_license_scan,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity_ftrl": op10_toxicity_ftrl,
 }
