@@ -1,4 +1,505 @@
-"""Registered queries and their SQL."""
+"""Registered queries and their SQL. Every query reads its tables whole."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomtext.functions import text as X
+from loomtext.functions.lexicon import LABELS, RATIO_SHENG, RATIO_SWAHILI, SHENG, SWAHILI
+from loomtext.operators import clean, joins, packing, parsing, providers, rules, sampling, telemetry
+from loomtext.plans import cascade
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet")
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).select(F.col("doc_id").cast("string").alias("id"), "text")
+
+
+def _turns(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/conversations.parquet")
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/events.parquet")
+
+
+def _marks(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/labels.parquet")
+
+
+def _list(words) -> str:
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+TOKENS = "regexp_extract_all(lower({}), '[a-z'']+')"
+WORDS = r"regexp_extract_all({}, '\S+')"
+HASH_LABEL = f"list_extract({_list(LABELS)}, CAST(CAST('0x' || substr(md5({{}}), 1, 8) AS BIGINT) % 4 AS INTEGER) + 1)"
+
+
+def _rule_sql(rows: str) -> str:
+    """CTEs that end in ``ruled``: the columns of ``rows`` (one is text) with counts and the lexicon label."""
+    return rf"""
+base AS ({rows}),
+tok AS (SELECT *, {TOKENS.format('text')} AS tokens, CAST(length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) AS BIGINT) AS n_letters FROM base),
+cnt AS (SELECT * EXCLUDE (tokens), CAST(len(tokens) AS BIGINT) AS n_tokens,
+   CAST(len(list_intersect(tokens, {_list(SWAHILI)})) AS BIGINT) AS n_sw, CAST(len(list_intersect(tokens, {_list(SHENG)})) AS BIGINT) AS n_sh FROM tok),
+ruled AS (SELECT *, CASE WHEN n_letters < 3 OR n_tokens = 0 THEN NULL WHEN n_sw = 0 AND n_sh = 0 AND n_tokens >= 4 THEN 'English'
+   WHEN n_sw >= 3 AND n_sh = 0 THEN 'Swahili' WHEN n_sh >= 1 THEN 'Sheng' WHEN n_sw BETWEEN 1 AND 2 THEN 'English and Swahili' END AS label FROM cnt)"""
+
+
+# --- cleaning, gates, scalars ------------------------------------------------------------------
+
+_EXTRA = [("x1", "[Deleted]"), ("x2", " [removed] "), ("x3", "   "), ("x4", None), (None, " no id ")]
+_EXTRA_SQL = "VALUES ('x1', '[Deleted]'), ('x2', ' [removed] '), ('x3', '   '), ('x4', NULL), (NULL, ' no id ')"
+_RAW_SQL = f"SELECT CAST(doc_id AS VARCHAR) AS id, text AS body FROM documents UNION ALL SELECT * FROM ({_EXTRA_SQL}) v(id, body)"
+
+
+def _raw(spark: SparkSession, d: str) -> DataFrame:
+    """The documents, and rows of each kind that cleaning drops or repairs."""
+    return _items(spark, d).withColumnRenamed("text", "body").unionByName(spark.createDataFrame(_EXTRA, "id string, body string"))
+
+
+@_query(f"WITH raw AS ({_RAW_SQL}), s AS (SELECT coalesce(id, '') AS id, {STRIP.format('body')} AS body FROM raw) SELECT id, body FROM s WHERE body <> '' AND lower(body) NOT IN ('[deleted]', '[removed]')")
+def clean_comments(spark, d):
+    return clean.clean_comments(_raw(spark, d))
+
+
+@_query(f"""WITH raw AS ({_RAW_SQL}), s AS (SELECT id, {STRIP.format('body')} AS t FROM raw)
+SELECT CASE WHEN coalesce(id, '') = '' THEN 'missing_id' WHEN coalesce(t, '') = '' THEN 'blank_text' WHEN length(t) < 3 THEN 'too_short' ELSE 'kept' END AS reason, count(*) AS n FROM s GROUP BY 1""")
+def skip_reason_counts(spark, d):
+    return clean.skip_reasons(_raw(spark, d).withColumnRenamed("body", "text"))
+
+
+@_query("SELECT doc_id, text FROM documents WHERE regexp_matches(text, '[''\"]')")
+def quote_gate(spark, d):
+    return _docs(spark, d).where(clean.quote_gate(F.col("text"))).select("doc_id", "text")
+
+
+@_query(f"SELECT conv_id, turn, length({STRIP.format('text')}) >= 2 AS min2, length({STRIP.format('text')}) >= 3 AS min3, {STRIP.format('text')} <> '' AS not_blank FROM conversations")
+def min_length_gate(spark, d):
+    t = F.col("text")
+    return _turns(spark, d).select("conv_id", "turn", clean.min_length(t, 2).alias("min2"), clean.min_length(t, 3).alias("min3"), clean.not_blank(t).alias("not_blank"))
+
+
+@_query(f"""WITH w AS (SELECT doc_id, text, {WORDS.format('text')} AS words FROM documents)
+SELECT doc_id, md5(CASE WHEN len(words) > 500 THEN array_to_string(words[1:500], ' ') ELSE text END) AS capped_md5, CAST(len(words) AS BIGINT) AS n_words FROM w""")
+def word_cap_500(spark, d):
+    t = F.col("text")
+    return _docs(spark, d).select("doc_id", F.md5(X.word_cap(t)).alias("capped_md5"), F.size(X.words(t)).cast("long").alias("n_words"))
+
+
+@_query("SELECT doc_id, md5(substr(text, 1, 800)) AS p800, md5(substr(text, 1, 1500)) AS p1500 FROM documents")
+def char_prefixes(spark, d):
+    t = F.col("text")
+    return _docs(spark, d).select("doc_id", F.md5(X.prefix(t, 800)).alias("p800"), F.md5(X.prefix(t, 1500)).alias("p1500"))
+
+
+@_query(f"""WITH w AS (SELECT doc_id, text, {WORDS.format('text')} AS words FROM documents),
+e AS (SELECT *, greatest(CAST(len(words) AS BIGINT), CAST(length(text) AS BIGINT) * 32 // 100) AS tokens FROM w)
+SELECT doc_id, tokens, md5(CASE WHEN tokens > 600 THEN array_to_string(words[1:2500], ' ') ELSE text END) AS capped_md5 FROM e""")
+def token_estimate(spark, d):
+    t = F.col("text")
+    return _docs(spark, d).select("doc_id", X.token_estimate(t).alias("tokens"), F.md5(X.token_cap(t)).alias("capped_md5"))
+
+
+@_query(f"SELECT CASE WHEN text <> '' THEN text ELSE coalesce(role, '') END AS picked, lower(replace(role, ' ', '_')) AS slug, conv_id, turn, CAST(length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS BIGINT) AS letters FROM conversations")
+def falsy_and_slugs(spark, d):
+    return _turns(spark, d).select(X.falsy_coalesce(F.col("text"), F.col("role")).alias("picked"), X.slug(F.col("role")).alias("slug"), "conv_id", "turn", X.letter_count(F.col("text")).cast("long").alias("letters"))
+
+
+@_query("""WITH n AS (SELECT doc_id, CASE WHEN lang = 'en' THEN source END AS sid FROM documents),
+r AS (SELECT doc_id, sid, sum(CASE WHEN sid IS NULL THEN 1 ELSE 0 END) OVER (ORDER BY doc_id) AS k, row_number() OVER (ORDER BY doc_id) AS a FROM n)
+SELECT doc_id, coalesce(sid, 'auto_' || CAST(k AS BIGINT)) AS id_missing, coalesce(sid, 'auto_' || a) AS id_all FROM r""")
+def synthetic_ids(spark, d):
+    rows = _docs(spark, d).select("doc_id", F.when(F.col("lang") == "en", F.col("source")).alias("sid"))
+    a = clean.numbered_ids(rows.withColumnRenamed("sid", "id_missing"), "doc_id", "id_missing")
+    b = clean.numbered_ids(rows.withColumnRenamed("sid", "id_all"), "doc_id", "id_all", count_all=True)
+    return a.join(b, "doc_id").select("doc_id", "id_missing", "id_all")
+
+
+@_query("SELECT page_id, CASE WHEN url <> '' AND url LIKE 'https%' THEN url ELSE md5(html) END AS id FROM pages")
+def content_hash_ids(spark, d):
+    pages = spark.read.parquet(f"{d}/pages.parquet").withColumn("id", F.when(F.col("url").startswith("https"), F.col("url")))
+    return clean.content_id(pages, "html").select("page_id", "id")
+
+
+# --- rules -------------------------------------------------------------------------------------
+
+
+@_query("WITH " + _rule_sql("SELECT doc_id, text FROM documents") + " SELECT doc_id, n_letters, n_tokens, n_sw, n_sh, label FROM ruled")
+def lexicon_label(spark, d):
+    out = rules.lexicon_counts(_docs(spark, d).select("doc_id", "text")).withColumn("label", rules.lexicon_rule())
+    return out.select("doc_id", *[F.col(c).cast("long").alias(c) for c in ("n_letters", "n_tokens", "n_sw", "n_sh")], "label")
+
+
+@_query("WITH " + _rule_sql("SELECT doc_id, text FROM documents") + f", dom AS (SELECT unnest({_list((*LABELS, 'Unknown'))}) AS label) SELECT dom.label, count(ruled.doc_id) AS n FROM dom LEFT JOIN ruled ON dom.label = coalesce(ruled.label, 'Unknown') GROUP BY 1")
+def lexicon_label_counts(spark, d):
+    labelled = rules.lexicon_counts(_docs(spark, d).select("doc_id", "text")).select(rules.lexicon_rule().alias("label"))
+    return joins.label_counts(labelled, F.col("label"), LABELS)
+
+
+@_query("WITH " + _rule_sql("SELECT role, text FROM conversations") + " SELECT role, coalesce(label, 'Unknown') AS label, count(*) AS n FROM ruled GROUP BY 1, 2")
+def lexicon_label_turns(spark, d):
+    labelled = rules.lexicon_counts(_turns(spark, d).select("role", "text")).withColumn("label", F.coalesce(rules.lexicon_rule(), F.lit("Unknown")))
+    return labelled.groupBy("role", "label").agg(F.count("*").alias("n"))
+
+
+_SENTENCES = rf"""
+wf AS (SELECT w, log10(count(*) * 1e9 / (SELECT count(*) FROM (SELECT unnest({TOKENS.format('text')}) FROM documents WHERE lang = 'en'))) AS zipf
+  FROM (SELECT unnest({TOKENS.format('text')}) AS w FROM documents WHERE lang = 'en') GROUP BY w),
+pieces AS (SELECT doc_id AS line_id, list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda s: {STRIP.format('s')}), lambda s: s <> '') AS p FROM documents),
+sent AS (SELECT line_id, unnest(p) AS text, unnest(range(1, len(p) + 1)) AS sent_id FROM pieces),
+stok AS (SELECT *, {TOKENS.format('text')} AS tokens FROM sent),
+words AS (SELECT line_id, sent_id, unnest(tokens) AS w FROM stok),
+per AS (SELECT line_id, sent_id, count(*) AS total_tokens, CAST(sum(CASE WHEN zipf >= 5.5 THEN 1 ELSE 0 END) AS BIGINT) AS en_tokens FROM words LEFT JOIN wf USING (w) GROUP BY 1, 2),
+shares AS (SELECT line_id, sent_id, CASE WHEN total_tokens < 3 THEN 'short' WHEN en_tokens / total_tokens >= 0.95 THEN 'English' WHEN en_tokens / total_tokens >= 0.80 THEN 'code_mix_light'
+  WHEN en_tokens / total_tokens >= 0.50 THEN 'light_swahili' ELSE 'heavy_swahili' END AS label, total_tokens, en_tokens, round(en_tokens / total_tokens, 3) AS en_ratio, text FROM stok JOIN per USING (line_id, sent_id))"""
+
+
+def _shares(spark, d):
+    docs = _docs(spark, d)
+    zipf = rules.word_zipf(docs.where("lang = 'en'").select("text"))
+    return rules.sentence_shares(docs.select(F.col("doc_id").alias("line_id"), "text"), zipf, 5.5)
+
+
+@_query("WITH " + _SENTENCES + " SELECT line_id, sent_id, label, total_tokens, en_tokens, en_ratio, text FROM shares")
+def sentence_english_ratio(spark, d):
+    return _shares(spark, d)
+
+
+@_query("WITH " + _SENTENCES + " SELECT label, count(*) AS n FROM shares GROUP BY 1")
+def sentence_label_counts(spark, d):
+    return _shares(spark, d).groupBy("label").agg(F.count("*").alias("n"))
+
+
+# A stand-in for a word language model: the language in which a word is most frequent (Spanish stands for Swahili).
+_LID = f"""
+occ AS (SELECT doc_id, lang, unnest({TOKENS.format('text')}) AS word FROM documents),
+wl AS (SELECT word, lang, count(*) AS n FROM occ GROUP BY 1, 2),
+lid AS (SELECT word, CASE arg_min(lang, struct_pack(a := -n, b := lang)) WHEN 'es' THEN 'sw' ELSE arg_min(lang, struct_pack(a := -n, b := lang)) END AS lang, max(n) / sum(n) AS prob FROM wl GROUP BY 1),
+tags AS (SELECT occ.doc_id AS doc_id, word, CASE WHEN list_contains({_list(RATIO_SHENG)}, word) THEN 'Sheng' WHEN list_contains({_list(RATIO_SWAHILI)}, word) THEN 'Swahili'
+  WHEN prob > 0.7 AND lid.lang = 'en' THEN 'English' WHEN prob > 0.7 AND lid.lang = 'sw' THEN 'Swahili' ELSE 'Unknown' END AS tag FROM occ JOIN lid USING (word))"""
+
+
+def _word_lid(docs: DataFrame) -> DataFrame:
+    lid = providers.corpus_word_lid(docs.select("text", "lang"), X.tokens(F.col("text")))
+    return lid.withColumn("lang", F.when(F.col("lang") == "es", "sw").otherwise(F.col("lang")))
+
+
+@_query("WITH " + _LID + " SELECT tag, count(*) AS n_tokens, count(DISTINCT word) AS n_words FROM tags GROUP BY 1")
+def token_tag_counts(spark, d):
+    docs = _docs(spark, d)
+    tags = rules.token_tags(docs.select(F.col("doc_id").alias("id"), "text"), _word_lid(docs))
+    by_word = tags.groupBy("tag", "word").agg(F.count("*").alias("n"))
+    return by_word.groupBy("tag").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("n_words"))
+
+
+@_query("WITH " + _LID + """,
+sums AS (SELECT doc_id, count(*) AS n, sum(CASE WHEN tag = 'English' THEN 1 ELSE 0 END) AS en, sum(CASE WHEN tag = 'Swahili' THEN 1 ELSE 0 END) AS sw, sum(CASE WHEN tag = 'Sheng' THEN 1 ELSE 0 END) AS sh FROM tags GROUP BY 1),
+r AS (SELECT d.doc_id AS doc_id, coalesce(n, 0) AS n_tokens, coalesce(CAST(en AS DOUBLE) / n, 0.0::DOUBLE) AS en_ratio, coalesce(CAST(sw AS DOUBLE) / n, 0.0::DOUBLE) AS sw_ratio, coalesce(CAST(sh AS DOUBLE) / n, 0.0::DOUBLE) AS sh_ratio FROM documents d LEFT JOIN sums USING (doc_id))
+SELECT doc_id, n_tokens, en_ratio, sw_ratio, sh_ratio, CASE WHEN sh_ratio > 0.2 AND sh_ratio > sw_ratio AND sh_ratio > en_ratio THEN 'Sheng' WHEN sw_ratio > 0.7 AND sw_ratio > sh_ratio THEN 'Swahili'
+  WHEN en_ratio > 0.8 AND sw_ratio < 0.1 THEN 'English' WHEN sw_ratio > 0.2 AND sw_ratio < 0.6 AND en_ratio > 0.2 THEN 'English and Swahili' END AS label FROM r""")
+def ratio_label(spark, d):
+    docs = _docs(spark, d)
+    r = rules.token_ratios(docs.select(F.col("doc_id").alias("id"), "text"), _word_lid(docs))
+    label = rules.ratio_rule(F.col("en_ratio"), F.col("sw_ratio"), F.col("sh_ratio"))
+    return r.select(F.col("id").alias("doc_id"), "n_tokens", "en_ratio", "sw_ratio", "sh_ratio", label.alias("label"))
+
+
+# --- keys, joins, caches, merges ---------------------------------------------------------------
+
+
+@_query("SELECT md5(text) AS h, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def text_hash_dups(spark, d):
+    return joins.hash_groups(_docs(spark, d))
+
+
+@_query("SELECT md5(text) AS h, min(doc_id) AS doc_id FROM documents GROUP BY 1")
+def first_per_hash(spark, d):
+    return joins.first_of_hash(_docs(spark, d).select("doc_id", "text"), "doc_id").select("h", "doc_id")
+
+
+@_query("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
+def resume_anti_join(spark, d):
+    return joins.unprocessed(_docs(spark, d).select("doc_id", "lang"), _marks(spark, d), "doc_id")
+
+
+# Labels as a language: quality and toxicity give one of the four, so that merges have something to merge.
+_LANG_SQL = "CASE WHEN toxic = 1 THEN 'Sheng' WHEN quality = 1 THEN 'English' WHEN quality = 0 THEN 'Swahili' END"
+
+
+def _language() -> Column:
+    return F.when(F.col("toxic") == 1, "Sheng").when(F.col("quality") == 1, "English").when(F.col("quality") == 0, "Swahili")
+
+
+_CACHE_SQL = f"cache AS (SELECT md5(text) AS h, max_by({_LANG_SQL}, doc_id) AS label FROM documents JOIN labels USING (doc_id) GROUP BY 1)"
+
+
+def _cache(spark, d):
+    rows = _docs(spark, d).join(_marks(spark, d), "doc_id").select("doc_id", X.hash_key(F.col("text")).alias("h"), _language().alias("label"))
+    return joins.last_wins(rows, "h", "label", "doc_id")
+
+
+@_query(f"WITH {_CACHE_SQL} SELECT doc_id, md5(text) AS h, label FROM documents LEFT JOIN cache ON md5(text) = h")
+def cache_probe(spark, d):
+    return joins.probe_cache(_docs(spark, d).select("doc_id", "text"), _cache(spark, d)).select("doc_id", "h", "label")
+
+
+@_query(f"""WITH {_CACHE_SQL}, fresh AS (SELECT md5(text) AS h, max_by(lang, doc_id) AS label FROM documents WHERE lang <> 'en' GROUP BY 1)
+SELECT h, label FROM fresh UNION ALL SELECT h, label FROM cache WHERE h NOT IN (SELECT h FROM fresh)""")
+def cache_upsert(spark, d):
+    new = _docs(spark, d).where("lang <> 'en'").select(X.hash_key(F.col("text")).alias("h"), F.col("lang").alias("label"), "doc_id")
+    return joins.upsert_cache(_cache(spark, d), new, "doc_id")
+
+
+@_query(f"WITH {_CACHE_SQL} SELECT h, label FROM cache WHERE h NOT IN (SELECT md5(text) FROM documents WHERE lang = 'fr')")
+def cache_delete(spark, d):
+    return joins.delete_from_cache(_cache(spark, d), _docs(spark, d).where("lang = 'fr'").select(X.hash_key(F.col("text")).alias("h")))
+
+
+_MERGE_SQL = f"""
+lab AS (SELECT CAST(doc_id AS VARCHAR) AS id, {_LANG_SQL} AS language FROM labels),
+merged AS (SELECT CAST(d.doc_id AS VARCHAR) AS id, d.text AS body, lab.language AS language FROM documents d LEFT JOIN lab ON CAST(d.doc_id AS VARCHAR) = lab.id WHERE {STRIP.format('d.text')} <> '')"""
+
+
+def _merged(spark, d):
+    labels = _marks(spark, d).select(F.col("doc_id").cast("string").alias("id"), _language().alias("language"), "doc_id")
+    return joins.merge_labels(_items(spark, d).withColumnRenamed("text", "body"), labels, "doc_id")
+
+
+@_query("WITH " + _MERGE_SQL + " SELECT id, body, language, CASE WHEN language IS NULL THEN 'unknown' ELSE lower(replace(language, ' ', '_')) END AS slug FROM merged")
+def merge_labels(spark, d):
+    return _merged(spark, d)
+
+
+@_query("WITH " + _MERGE_SQL + " SELECT (SELECT count(*) FROM documents) AS total, count(language) AS matched FROM merged")
+def merge_match_counts(spark, d):
+    total = _docs(spark, d).agg(F.count("*").alias("total"))
+    return total.join(_merged(spark, d).agg(F.count("language").alias("matched")), F.lit(True))
+
+
+@_query("WITH " + _rule_sql("SELECT doc_id, text FROM documents") + " SELECT doc_id, label, lower(replace(label, ' ', '_')) AS slug, CASE label WHEN 'English and Swahili' THEN 'mixed' WHEN 'Swahili' THEN 'swahili' WHEN 'Sheng' THEN 'sheng' WHEN 'English' THEN 'english' END AS short_slug FROM ruled")
+def label_split_slug(spark, d):
+    out = rules.lexicon_counts(_docs(spark, d).select("doc_id", "text")).withColumn("label", rules.lexicon_rule())
+    return out.select("doc_id", "label", X.slug(F.col("label")).alias("slug"), X.short_slug(F.col("label")).alias("short_slug"))
+
+
+@_query("SELECT lang AS label, count(*) AS n FROM documents GROUP BY 1")
+def open_label_counts(spark, d):
+    return joins.label_counts(_docs(spark, d), F.col("lang"))
+
+
+@_query("SELECT CASE WHEN lang IN ('en', 'sw') THEN lang ELSE 'unexpected_label' END AS label, count(*) AS n FROM documents GROUP BY 1 UNION ALL SELECT 'sw', 0")
+def closed_label_counts(spark, d):
+    return joins.label_counts(_docs(spark, d), F.col("lang"), ("en", "sw"), "unexpected_label")
+
+
+@_query("SELECT count(DISTINCT doc_id) AS n_done, (SELECT count(*) FROM documents) AS n_all, round(count(DISTINCT doc_id) * 100.0 / (SELECT count(*) FROM documents), 6) AS percent FROM labels")
+def checkpoint_progress(spark, d):
+    done = _marks(spark, d).agg(F.count_distinct("doc_id").alias("n_done"))
+    both = done.join(_docs(spark, d).agg(F.count("*").alias("n_all")), F.lit(True))
+    return both.withColumn("percent", F.round(X.percent_done(F.col("n_done"), F.col("n_all")), 6))
+
+
+@_query("SELECT * FROM (SELECT role, conv_id, turn, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS r FROM conversations) WHERE r = 1".replace("*", "conv_id, role, turn, text", 1))
+def first_wins_by_role(spark, d):
+    key = F.concat_ws("/", F.col("conv_id").cast("string"), "role")
+    first = joins.first_wins(_turns(spark, d).withColumn("k", key), "k", "turn")
+    return first.select("conv_id", "role", "turn", "text")
+
+
+@_query(f"""WITH res AS (SELECT doc_id AS id, CASE WHEN quality = 1 THEN '' ELSE 'kept' END AS text, {_LANG_SQL} AS language FROM labels)
+SELECT res.id AS id, CASE WHEN res.text <> '' THEN res.text ELSE coalesce(d.text, '') END AS text, language FROM res LEFT JOIN documents d ON d.doc_id = res.id""")
+def align_results(spark, d):
+    res = _marks(spark, d).select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "").otherwise("kept").alias("text"), _language().alias("language"))
+    return joins.align_results(res, _docs(spark, d).select(F.col("doc_id").alias("id"), "text"))
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents WHERE CAST(doc_id AS VARCHAR) NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE quality = 1)")
+def missing_from_batch(spark, d):
+    results = _marks(spark, d).select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("quality") == 1, "English").alias("language"))
+    return joins.missing_from_results(_items(spark, d), results)
+
+
+@_query(f"""WITH told AS (SELECT doc_id, CASE WHEN quality = 1 THEN {HASH_LABEL.format('text')} END AS language FROM labels JOIN documents USING (doc_id)),
+e AS (SELECT doc_id, {HASH_LABEL.format("text || lang")} AS expected FROM documents)
+SELECT CASE WHEN language IS NULL THEN 'missing' WHEN language = expected THEN 'match' ELSE 'mismatch' END AS outcome, count(*) AS n FROM e LEFT JOIN told USING (doc_id) GROUP BY 1""")
+def recheck_outcomes(spark, d):
+    docs = _docs(spark, d)
+    expected = docs.select(F.col("doc_id").alias("recheck_id"), providers.hash_label(F.concat("text", "lang")).alias("expected"))
+    told = docs.join(_marks(spark, d).where("quality = 1").select("doc_id"), "doc_id").select(F.col("doc_id").alias("recheck_id"), providers.hash_label(F.col("text")).alias("language"))
+    return joins.recheck_outcomes(expected, told).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+# --- batches and samples -----------------------------------------------------------------------
+
+
+def _sized(spark, d):
+    docs = _docs(spark, d).select("doc_id", X.token_estimate(F.col("text")).alias("tokens"))
+    return docs.withColumn("shard", packing.shard_of(F.col("doc_id")))
+
+
+@_query("SELECT conv_id, turn, CAST(floor((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) / 4) AS BIGINT) AS batch FROM conversations")
+def fixed_batches(spark, d):
+    return packing.fixed_batches(_turns(spark, d), "turn", 4, "conv_id").select("conv_id", "turn", "batch")
+
+
+def _pack_sql(carry: str) -> str:
+    return rf"""WITH RECURSIVE w AS (SELECT doc_id, doc_id // 1000 AS shard, greatest(CAST(len({WORDS.format('text')}) AS BIGINT), CAST(length(text) AS BIGINT) * 32 // 100) AS tokens FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) AS k FROM w),
+f AS (SELECT shard, doc_id, tokens, k, {carry.format(b='CAST(0 AS BIGINT)', s='CAST(0 AS BIGINT)', c='CAST(0 AS BIGINT)', t='tokens')} FROM n WHERE k = 1
+  UNION ALL SELECT n.shard, n.doc_id, n.tokens, n.k, {carry.format(b='f.b', s='f.s', c='f.c', t='n.tokens')} FROM f JOIN n ON n.shard = f.shard AND n.k = f.k + 1)
+SELECT shard, doc_id, tokens, batch FROM f"""
+
+
+_GREEDY = "(({c}) > 0 AND (({s}) + {t} > 2500 OR ({c}) >= 15))"
+_SUM_OVER = "(({s}) + {t} > 7000 OR ({c}) + 1 >= 40)"
+
+
+@_query(_pack_sql(f"CAST(({{b}}) + CASE WHEN {_GREEDY} THEN 1 ELSE 0 END AS BIGINT) AS batch, CAST(({{b}}) + CASE WHEN {_GREEDY} THEN 1 ELSE 0 END AS BIGINT) AS b, CAST(CASE WHEN {_GREEDY} THEN 0 ELSE ({{s}}) END + {{t}} AS BIGINT) AS s, CAST(CASE WHEN {_GREEDY} THEN 0 ELSE ({{c}}) END + 1 AS BIGINT) AS c"))
+def budget_batches(spark, d):
+    return packing.budget_batches(_sized(spark, d), "shard", "doc_id", "tokens")
+
+
+@_query(_pack_sql(f"CAST(({{b}}) AS BIGINT) AS batch, CAST(({{b}}) + CASE WHEN {_SUM_OVER} THEN 1 ELSE 0 END AS BIGINT) AS b, CAST(CASE WHEN {_SUM_OVER} THEN 0 ELSE ({{s}}) + {{t}} END AS BIGINT) AS s, CAST(CASE WHEN {_SUM_OVER} THEN 0 ELSE ({{c}}) + 1 END AS BIGINT) AS c"))
+def flush_batches(spark, d):
+    return packing.flush_batches(_sized(spark, d), "shard", "doc_id", "tokens")
+
+
+@_query("SELECT doc_id, lang FROM documents ORDER BY md5('s7' || doc_id), doc_id LIMIT 100")
+def seeded_sample(spark, d):
+    return sampling.sample_n(_docs(spark, d).select("doc_id", "lang"), 100, "s7", "doc_id")
+
+
+@_query("SELECT doc_id, 'cache' AS origin FROM documents WHERE CAST('0x' || substr(md5('c1' || doc_id), 1, 8) AS BIGINT) < CAST(floor(0.02 * 4294967296) AS BIGINT) UNION ALL SELECT doc_id, 'rule' FROM documents WHERE CAST('0x' || substr(md5('r1' || doc_id), 1, 8) AS BIGINT) < CAST(floor(0.08 * 4294967296) AS BIGINT)")
+def bernoulli_recheck_sample(spark, d):
+    docs = _docs(spark, d).select("doc_id")
+    return sampling.bernoulli(docs, 0.02, "c1", "doc_id").withColumn("origin", F.lit("cache")).unionByName(sampling.bernoulli(docs, 0.08, "r1", "doc_id").withColumn("origin", F.lit("rule")))
+
+
+# --- parsing -----------------------------------------------------------------------------------
+
+
+@_query("SELECT event_id, json_extract_string(props, '$.k') AS k, json_type(props) = 'OBJECT' AS is_object FROM events")
+def parse_json_field(spark, d):
+    return _events(spark, d).select("event_id", F.get_json_object("props", "$.k").alias("k"), parsing.is_object(F.col("props")).alias("is_object"))
+
+
+@_query("SELECT event_id, event_type AS language FROM events")
+def salvage_json_array(spark, d):
+    body = F.to_json(F.array(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("language"))))
+    rows = _events(spark, d).select(parsing.salvaged_array(F.concat(F.lit("Sure: "), body, F.lit(" done"))).alias("r"))
+    return rows.select(F.explode("r").alias("r")).select(F.col("r.id").cast("long").alias("event_id"), F.col("r.language").alias("language"))
+
+
+@_query("SELECT event_id, event_type AS language, CAST(0 AS INTEGER) AS invalid FROM events")
+def lenient_responses(spark, d):
+    body = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("language")))
+    rows = _events(spark, d).select(parsing.lenient(F.concat(F.lit("- "), body, F.lit(" ;\n\n"))).alias("r"))
+    return rows.select(F.explode("r.results").alias("x"), F.col("r.invalid").alias("invalid")).select(F.col("x.id").cast("long").alias("event_id"), F.col("x.language").alias("language"), "invalid")
+
+
+# --- telemetry ---------------------------------------------------------------------------------
+
+
+def _log(spark, d):
+    cents = _events(spark, d).select("event_id", "user_id", "ts", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return telemetry.running_total(cents, "user_id", "ts", "cents").withColumnRenamed("running_total", "total")
+
+
+_LOG_SQL = "log AS (SELECT event_id, user_id, ts, event_type, CAST(round(value * 100) AS BIGINT) AS cents, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM events)"
+
+
+@_query(f"WITH {_LOG_SQL} SELECT event_id, user_id, total FROM log")
+def running_totals(spark, d):
+    return _log(spark, d).select("event_id", "user_id", "total")
+
+
+@_query(f"""WITH {_LOG_SQL}, w AS (SELECT event_id, epoch_us(ts) - first(epoch_us(ts)) OVER f AS span, total - first(total) OVER f AS grown FROM log
+  WINDOW f AS (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 1800000000 PRECEDING AND CURRENT ROW))
+SELECT event_id, CASE WHEN span > 0 THEN round(grown * 1e6 / span, 6) END AS rate FROM w""")
+def trailing_rate_30m(spark, d):
+    return telemetry.trailing_rate(_log(spark, d), "user_id", "ts", "total").select("event_id", F.round("rate", 6).alias("rate"))
+
+
+@_query(f"""WITH {_LOG_SQL}, w AS (SELECT event_id, epoch_us(ts) - lag(epoch_us(ts)) OVER f AS span, total - lag(total) OVER f AS grown FROM log WINDOW f AS (PARTITION BY user_id ORDER BY ts))
+SELECT event_id, CASE WHEN span > 0 THEN round(grown * 1e6 / span, 6) END AS rate FROM w""")
+def delta_rate(spark, d):
+    return telemetry.delta_rate(_log(spark, d), "user_id", "ts", "total").select("event_id", F.round("rate", 6).alias("rate"))
+
+
+@_query("""WITH RECURSIVE e AS (SELECT user_id, CAST(ts AS DATE) AS day, value, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, value) AS k FROM events),
+f AS (SELECT user_id, day, k, CASE WHEN value > 0 THEN value END AS ema FROM e WHERE k = 1
+  UNION ALL SELECT e.user_id, e.day, e.k, CASE WHEN e.value <= 0 THEN f.ema WHEN f.ema IS NULL THEN e.value ELSE 0.2::DOUBLE * e.value + 0.8::DOUBLE * f.ema END FROM f JOIN e ON e.user_id = f.user_id AND e.day = f.day AND e.k = f.k + 1)
+SELECT user_id, day, round(arg_max(ema, k), 6) AS ema FROM f GROUP BY 1, 2""")
+def ema_value(spark, d):
+    runs = _events(spark, d).withColumn("day", F.to_date("ts"))
+    return telemetry.ema_by_run(runs, ["user_id", "day"], "ts", "value").select("user_id", "day", F.round("ema", 6).alias("ema"))
+
+
+@_query("""WITH e AS (SELECT event_id, user_id, ts, event_type <> 'error' AS success FROM events),
+g AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) - row_number() OVER (PARTITION BY user_id, success ORDER BY ts) AS g FROM e)
+SELECT event_id, success, CAST(row_number() OVER (PARTITION BY user_id, success, g ORDER BY ts) AS INTEGER) AS streak FROM g""")
+def outcome_streaks(spark, d):
+    return telemetry.streaks(_events(spark, d), "user_id", "ts", F.col("event_type") != "error").select("event_id", "success", "streak")
+
+
+@_query("""SELECT user_id, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS tokens, round(avg(value), 6) AS mean_latency, round(count(*) * 1e6 / (max(epoch_us(ts)) - min(epoch_us(ts))), 9) AS rows_per_s FROM events GROUP BY 1 HAVING max(epoch_us(ts)) > min(epoch_us(ts))""")
+def throughput(spark, d):
+    log = _events(spark, d).select("user_id", "ts", F.lit(1).alias("n_rows"), F.col("event_id").alias("n_tokens"), F.col("value").alias("latency"))
+    out = telemetry.throughput(log, "user_id").where("rows_per_s IS NOT NULL")
+    return out.select("user_id", "rows", "tokens", F.round("mean_latency", 6).alias("mean_latency"), F.round("rows_per_s", 9).alias("rows_per_s"))
+
+
+@_query()
+def tuner_states(spark, d):
+    log = _events(spark, d).select(
+        F.col("user_id").alias("run"), telemetry.micros("ts").alias("seq"), (telemetry.micros("ts") / 1e6).alias("t"), (F.col("event_type") != "error").alias("success"),
+        F.col("value").alias("rate"), (F.col("value") * 2).alias("latency"), (F.col("value") * 10).alias("tokens"),
+    )
+    return telemetry.tune(log)
+
+
+# --- whole plans -------------------------------------------------------------------------------
+
+
+@_query(f"WITH {_CACHE_SQL}, " + _rule_sql("SELECT doc_id, text, md5(text) AS h FROM documents WHERE length(text) >= 2 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)").strip() + f"""
+SELECT CAST(doc_id AS VARCHAR) AS id, coalesce(cache.label, ruled.label, {HASH_LABEL.format("text")}) AS label, CASE WHEN cache.label IS NOT NULL THEN 'cache' WHEN ruled.label IS NOT NULL THEN 'rule' ELSE 'model' END AS origin
+FROM ruled LEFT JOIN cache USING (h)""")
+def cascade_labels(spark, d):
+    done = _marks(spark, d).where("toxic = 1").select(F.col("doc_id").cast("string").alias("id"))
+    preset = cascade.Preset(token_cap=False)
+    return cascade.run_cascade(_items(spark, d), preset, done, _cache(spark, d)).select("id", "label", "origin")
+
+
+@_query("WITH " + _rule_sql("SELECT doc_id, text FROM documents WHERE length(text) >= 2") + f", l AS (SELECT coalesce(label, {HASH_LABEL.format('text')}) AS label FROM ruled) SELECT label, count(*) AS n FROM l GROUP BY 1")
+def cascade_label_counts(spark, d):
+    out = cascade.run_cascade(_items(spark, d), cascade.Preset(token_cap=False))
+    return out.groupBy("label").agg(F.count("*").alias("n"))
+
+
+@_query(f"""WITH w AS (SELECT doc_id, text, {WORDS.format('text')} AS words FROM documents WHERE length({STRIP.format('text')}) >= 3),
+c AS (SELECT doc_id, text, CASE WHEN len(words) > 500 THEN array_to_string(words[1:500], ' ') ELSE text END AS sent FROM w)
+SELECT CAST(doc_id AS VARCHAR) AS id, {HASH_LABEL.format('sent')} AS label FROM c""")
+def model_only_labels(spark, d):
+    return cascade.run_cascade(_items(spark, d), cascade.PRESETS["v8"]).select("id", "label")
