@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import bpe, embed_dedup, license_scan, mixing, pii, quality, simhash, toxicity, warc
+from loomtext.llm import bpe, embed_dedup, license_scan, mixing, pii, quality, simhash, suffix_dedup, toxicity, warc
 from loomtext.llm.common import table, word_count
 
 
@@ -48,6 +48,10 @@ FROM epochs
 """
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, read = warc.archive(table(spark, sf_dir, "pages"), payloads=False)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -99,6 +103,7 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_warc_index_merge": op3_warc_index_merge,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
