@@ -91,15 +91,15 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     empty ones among them, are not in the mix. Rows that repeat an id within a source are told
     apart by their size and, if that is equal too, share the decisions made for them.
     """
-    k, size, rank, copy = (free_name(docs, x) for x in ("mix_key", "mix_size", "mix_rank", "mix_copy"))
+    k, size, rank, copy, got_name = (free_name(docs, x) for x in ("mix_key", "mix_size", "mix_rank", "mix_copy", "mix_taken"))
     sized = docs.withColumn(size, word_count(F.col("text"))).withColumn(k, _row_key(F.col("doc_id"), F.col("source"), F.col(size)))
     taken = mix(sized.select("doc_id", "source", F.col(size).alias("size")), **options)
-    taken = taken.select(_row_key(F.col("doc_id"), F.col("source"), F.col("size")).alias(k), F.col("taken").alias("t_taken"))
+    taken = taken.select(_row_key(F.col("doc_id"), F.col("source"), F.col("size")).alias(k), F.col("taken").alias(got_name))
     # Both sides are dealt by the key alone, so the join on key and rank moves nothing again.
-    taken = taken.withColumn(rank, F.row_number().over(Window.partitionBy(k).orderBy(F.col("t_taken").desc()))).where("t_taken > 0")
+    taken = taken.withColumn(rank, F.row_number().over(Window.partitionBy(k).orderBy(F.col(got_name).desc()))).where(F.col(got_name) > 0)
     ranked = sized.withColumn(rank, F.row_number().over(Window.partitionBy(k).orderBy("text")))
     joined = ranked.join(taken, [k, rank])
-    n, got = F.col(size), F.col("t_taken")
+    n, got = F.col(size), F.col(got_name)
     cut = joined.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(got / n).cast("long"))))
     rest = got - (F.col(copy) - 1) * n
     # Pieces end where a word ends, so the first `rest` pieces keep the white space between words.

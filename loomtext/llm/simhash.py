@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import stored
+from loomtext.llm.common import free_name, stored
 from loomtext.llm.components import connected_components
 
 SHINGLE = 3
@@ -209,9 +209,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row for each group of near duplicates: that with the smallest doc_id.
 
-    Rows that repeat the smallest id with the same fingerprint are one row then (the first text in
-    order). Rows with a null id stay where no row of their group has an id.
+    Rows that repeat an id are one document: of those that are their group's, the one with the
+    first text in order stays. Rows with a null id name no group and all stay.
     """
     comp = near_duplicates(docs)
     kept = comp.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    row = free_name(docs, "kept_row")
+    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias(row)).select(f"{row}.*")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
