@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,8 @@ from loomtext.functions import text as X
 from loomtext.functions.lexicon import LABELS, RATIO_SHENG, RATIO_SWAHILI, SHENG, SWAHILI
 from loomtext.operators import clean, joins, packing, parsing, providers, rules, sampling, telemetry
 from loomtext.plans import cascade
+from loomtext.sources import jsonl, sinks
+from loomtext.streaming import labels as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -503,3 +506,102 @@ c AS (SELECT doc_id, text, CASE WHEN len(words) > 500 THEN array_to_string(words
 SELECT CAST(doc_id AS VARCHAR) AS id, {HASH_LABEL.format('sent')} AS label FROM c""")
 def model_only_labels(spark, d):
     return cascade.run_cascade(_items(spark, d), cascade.PRESETS["v8"]).select("id", "label")
+
+
+# --- files and streams -------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new place under the folder that driver and executors share."""
+    return f"{cascade.shared_folder(spark)}/loomtext-{name}-{uuid.uuid4().hex}"
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents WHERE text IS NOT NULL")
+def jsonl_roundtrip(spark, d):
+    """Documents written as JSON lines in rolling parts and read back by the tolerant reader."""
+    path = _folder(spark, "jsonl")
+    sinks.write_jsonl(_items(spark, d), path, part_rows=300, compression="gzip")
+    return jsonl.read_jsonl(spark, path).select("id", "text")
+
+
+@_query("WITH " + _rule_sql("SELECT doc_id, text FROM documents") + " SELECT CAST(doc_id AS VARCHAR) AS id, CASE label WHEN 'English and Swahili' THEN 'mixed' ELSE lower(label) END AS slug FROM ruled WHERE label IS NOT NULL")
+def split_by_label_roundtrip(spark, d):
+    """Labelled rows written to a folder for each label; unlabelled ones aren't written."""
+    path = _folder(spark, "split")
+    labelled = rules.lexicon_counts(_items(spark, d)).select("id", "text", rules.lexicon_rule().alias("language"))
+    sinks.write_by_label(labelled, path)
+    return spark.read.schema("id string, text string, language string, slug string").json(path).select("id", "slug")
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def checkpoint_roundtrip(spark, d):
+    """Labelled ids as a checkpoint file, read back, and what a resumed run still has to do."""
+    path = _folder(spark, "done")
+    sinks.write_checkpoint(_marks(spark, d).select(F.col("doc_id").cast("string").alias("id")), path)
+    return joins.unprocessed(_items(spark, d), jsonl.read_checkpoint(spark, path)).select("id")
+
+
+@_query(f"WITH lab AS (SELECT doc_id, max({_LANG_SQL}) AS language FROM labels GROUP BY 1) SELECT CAST(doc_id AS VARCHAR) AS id, language FROM lab")
+def label_files_last_wins(spark, d):
+    """Label files read by name order, temporary ones left out, the last label of an id kept."""
+    path = _folder(spark, "labels")
+    rows = _marks(spark, d).select(F.col("doc_id").cast("string").alias("id"), _language().alias("language"))
+    sinks.write_jsonl(rows, path)
+    return joins.last_wins(jsonl.read_label_files(spark, path), "id", "language", "file", "language")
+
+
+@_query("SELECT 'malformed_json' AS reason, 2 * count(*) AS n FROM conversations")
+def malformed_line_counts(spark, d):
+    """Turns as plain and as bracketed lines: none of them is a JSON object."""
+    t = _turns(spark, d)
+    lines = t.select(F.concat(F.lit("- "), "role").alias("value")).unionByName(t.select(F.concat(F.lit("["), "role").alias("value")))
+    return jsonl.parse_records(lines).where("problem IS NOT NULL").groupBy(F.col("problem").alias("reason")).agg(F.count("*").alias("n"))
+
+
+@_query(f"SELECT conv_id, turn, nullif({STRIP.format('text')}, '') AS object_text, nullif({STRIP.format('text')}, '') AS string_text FROM conversations")
+def extract_line_texts(spark, d):
+    """Texts out of JSON objects (the first usable key) and out of JSON strings."""
+    t = F.col("text")
+    obj = F.to_json(F.struct(F.lit(" ").alias("body"), t.alias("comment")))
+    quoted = F.regexp_extract(F.to_json(F.struct(t.alias("x"))), r"(?s)^\{\"x\":(.*)\}$", 1)
+    return _turns(spark, d).select("conv_id", "turn", jsonl.extract_text(obj).alias("object_text"), jsonl.extract_text(quoted).alias("string_text"))
+
+
+@_query(f"SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN text = '' THEN NULL ELSE {HASH_LABEL.format('text')} END AS label, CAST(NULL AS VARCHAR) AS failure FROM documents WHERE text <> ''")
+def provider_labels(spark, d):
+    """The model boundary itself, with the stand-in provider."""
+    return providers.label_batches(_items(spark, d).where("text <> ''"), providers.HashProvider())
+
+
+@_query("""SELECT 'sample' AS run, CAST(sum(n) AS BIGINT) AS total, '{' || string_agg('"' || lang || '":' || n, ',' ORDER BY lang) || '}' AS language_counts
+FROM (SELECT lang, count(*) AS n FROM documents GROUP BY 1)""")
+def run_metadata(spark, d):
+    meta = sinks.run_metadata(joins.label_counts(_docs(spark, d), F.col("lang")), run="sample")
+    return meta.withColumn("language_counts", F.to_json("language_counts"))
+
+
+@_query("WITH " + _rule_sql("SELECT doc_id, text FROM documents WHERE length(text) >= 2") + " SELECT coalesce(label, 'Unknown') AS label, count(*) AS n FROM ruled GROUP BY 1")
+def stream_label_counts(spark, d):
+    """The documents' files as a stream through the lexicon rule, written and counted."""
+    path, mark = _folder(spark, "stream"), _folder(spark, "mark")
+    schema = spark.read.parquet(f"{d}/documents.parquet").schema
+    items = spark.readStream.schema(schema).parquet(_watched(d, "documents")).select(F.col("doc_id").cast("string").alias("id"), "text")
+    q = streams.stream_rule_labels(items).writeStream.format("parquet").option("path", path).option("checkpointLocation", mark).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return joins.label_counts(spark.read.schema("id string, text string, label string").parquet(path), F.col("label"))
+
+
+def _watched(d: str, name: str) -> str:
+    """A file source takes a folder or a glob; a table may be a file or a folder."""
+    return f"{d}/{name}.parque[t]"
+
+
+@_query("SELECT count(DISTINCT text) AS n FROM documents")
+def stream_distinct_texts(spark, d):
+    """Content dedup across a stream."""
+    path, mark = _folder(spark, "stream"), _folder(spark, "mark")
+    schema = spark.read.parquet(f"{d}/documents.parquet").schema
+    items = spark.readStream.schema(schema).parquet(_watched(d, "documents")).select("text")
+    q = streams.distinct_texts(items).select("h").writeStream.format("parquet").option("path", path).option("checkpointLocation", mark).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema("h string").parquet(path).agg(F.count("*").alias("n"))

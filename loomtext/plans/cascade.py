@@ -10,7 +10,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
@@ -53,16 +53,20 @@ GATES = {
 }
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read back; a provider is never asked twice by a recomputed plan."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session; a temporary folder where it names none."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = f"file://{tempfile.mkdtemp(prefix='loomtext-')}"
         spark.conf.set("spark.checkpoint.dir", where)
-    path = f"{where.rstrip('/')}/loomtext-labels-{uuid.uuid4().hex}"
+    return where.rstrip("/")
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read back; a provider is never asked twice by a recomputed plan."""
+    path = f"{shared_folder(df.sparkSession)}/loomtext-labels-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def prompt_text(preset: Preset):
