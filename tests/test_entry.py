@@ -1,6 +1,8 @@
 """The driver's contract, and every query that has SQL against DuckDB on the smallest tables."""
 
 import math
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -43,3 +45,9 @@ def test_entry(spark):
 def test_registered_names():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert set(catalog.QUERIES) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_the_training_data_operators():
+    code = "import sys; sys.modules['corpus_pipeline'] = None; sys.modules['loomtext.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__spark_entry__.__file__).parent, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(catalog.QUERIES)), str(len(catalog.SQL))]
