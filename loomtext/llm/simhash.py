@@ -5,9 +5,9 @@ A 64-bit fingerprint is cut into 32 segments of two bits. The vector of segment
 distance of two vectors is the bit count of the XOR of their codes. It never exceeds the Hamming
 distance of the fingerprints.
 
-Grid range-join: the 32 coordinates form six blocks. Vectors within Manhattan distance 3 differ in
-three blocks at most, so they agree on three whole blocks and meet in one of 20 grids whose cells are
-the coordinates of three blocks. In each cell the Manhattan bound drops pairs, then the fingerprints decide.
+Grid range-join: the 32 coordinates form six blocks (more for very many fingerprints). Vectors within
+Manhattan distance 3 differ in three blocks at most, so they agree on all the others and meet in one of
+20 grids, whose cells are the coordinates of three blocks. In each cell the Manhattan bound drops pairs, then the fingerprints decide.
 
 Only distinct fingerprints enter. A cell gives a spanning forest of its links, never its pairs; a
 cell of more than ``CELL`` members is dealt out again in pairs of chunks, so no task holds it.
@@ -16,6 +16,7 @@ cell of more than ``CELL`` members is dealt out again in pairs of chunks, so no
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,6 +77,13 @@ def _nullable(run):
     return wrapped
 
 
+def blocks_for(fingerprints: int) -> int:
+    """Blocks for a number of distinct fingerprints: cells tell some 48 * (blocks - 3) / blocks bits apart,
+    and hold a few dozen unrelated members at most. All of them find every link; more blocks mean more, smaller cells."""
+    need = math.log2(max(2, fingerprints)) - 4
+    return next((b for b in range(BLOCKS, 12) if 48 * (b - MAX_BITS) / b >= need), 12)
+
+
 def grid_masks(blocks: int = BLOCKS, most: int = MAX_BITS) -> list[int]:
     """Signed masks over thermometer codes: for each grid, the coordinates of ``blocks - most`` blocks."""
     edges = [round(i * 32 / blocks) * 2 for i in range(blocks + 1)]
@@ -201,7 +209,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     fps = stored(fingerprints(docs), "fps")
     nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    found = connected_components(fingerprint_links(nodes.where("node is not null")), "a", "b")
+    known = nodes.where("node is not null")
+    found = connected_components(fingerprint_links(known, blocks_for(known.count())), "a", "b")
     named = nodes.join(found, "node", "left").select(F.col("fp"), F.coalesce("component_id", "node").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

@@ -29,6 +29,8 @@ from loomtext.llm.common import shared_dir, stored
 
 #: Payloads under this many bytes never become revisits.
 MIN_REVISIT = 1000
+#: Lines that a range of the merged index has on average, at most.
+RANGE_LINES = 200_000
 #: Archives are read in pieces of this size.
 CHUNK = 1 << 20
 EPOCH = datetime(2020, 1, 1, tzinfo=timezone.utc)
@@ -171,7 +173,7 @@ def merge_index(runs: DataFrame, parts: int | None = None) -> DataFrame:
     lines, which shrink with more partitions.
     """
     keys = ["urlkey", "ts", "page_id", "file", "offset"]
-    n = parts or int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts or max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + runs.count() // RANGE_LINES)
     columns = [x.split()[0] for x in INDEX.split(", ")]
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

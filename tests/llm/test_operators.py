@@ -413,6 +413,16 @@ def test_fingerprint_links(spark, limit):
     assert {i: found.get(i, i) for i in range(len(fps))} == want
 
 
+def test_more_blocks_for_more_fingerprints(spark):
+    assert [simhash.blocks_for(n) for n in (0, 10**6, 2**28, 2**32, 2**37)] == [6, 6, 6, 8, 10]
+    rng = random.Random(3)
+    fps = {rng.getrandbits(64) for _ in range(40)}
+    fps = sorted(fps | {f ^ sum(1 << b for b in rng.sample(range(64), 3)) for f in fps})
+    nodes = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "node long, fp long")
+    found = {r.node: r.component_id for r in components.connected_components(simhash.fingerprint_links(nodes, 8), "a", "b").collect()}
+    assert {i: found.get(i, i) for i in range(len(fps))} == {i: c for i, _, c in _components(fps)}
+
+
 def _components(fps):
     parent = list(range(len(fps)))
 
