@@ -70,7 +70,7 @@ ruled AS (SELECT *, CASE WHEN n_letters < 3 OR n_tokens = 0 THEN NULL WHEN n_sw
    WHEN n_sw >= 3 AND n_sh = 0 THEN 'Swahili' WHEN n_sh >= 1 THEN 'Sheng' WHEN n_sw BETWEEN 1 AND 2 THEN 'English and Swahili' END AS label FROM cnt)"""
 
 
-# --- cleaning, gates, scalars ------------------------------------------------------------------
+# cleaning, gates, scalars
 
 _EXTRA = [("x1", "[Deleted]"), ("x2", " [removed] "), ("x3", "   "), ("x4", None), (None, " no id ")]
 _EXTRA_SQL = "VALUES ('x1', '[Deleted]'), ('x2', ' [removed] '), ('x3', '   '), ('x4', NULL), (NULL, ' no id ')"
@@ -146,7 +146,7 @@ def content_hash_ids(spark, d):
     return clean.content_id(pages, "html").select("page_id", "id")
 
 
-# --- rules -------------------------------------------------------------------------------------
+# rules
 
 
 @_query("WITH " + _rule_sql("SELECT doc_id, text FROM documents") + " SELECT doc_id, n_letters, n_tokens, n_sw, n_sh, label FROM ruled")
@@ -229,7 +229,7 @@ def ratio_label(spark, d):
     return r.select(F.col("id").alias("doc_id"), "n_tokens", "en_ratio", "sw_ratio", "sh_ratio", label.alias("label"))
 
 
-# --- keys, joins, caches, merges ---------------------------------------------------------------
+# keys, joins, caches, merges
 
 
 @_query("SELECT md5(text) AS h, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -354,7 +354,7 @@ def recheck_outcomes(spark, d):
     return joins.recheck_outcomes(expected, told).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
-# --- batches and samples -----------------------------------------------------------------------
+# batches and samples
 
 
 def _sized(spark, d):
@@ -400,7 +400,7 @@ def bernoulli_recheck_sample(spark, d):
     return sampling.bernoulli(docs, 0.02, "c1", "doc_id").withColumn("origin", F.lit("cache")).unionByName(sampling.bernoulli(docs, 0.08, "r1", "doc_id").withColumn("origin", F.lit("rule")))
 
 
-# --- parsing -----------------------------------------------------------------------------------
+# parsing
 
 
 @_query("SELECT event_id, json_extract_string(props, '$.k') AS k, json_type(props) = 'OBJECT' AS is_object FROM events")
@@ -422,7 +422,7 @@ def lenient_responses(spark, d):
     return rows.select(F.explode("r.results").alias("x"), F.col("r.invalid").alias("invalid")).select(F.col("x.id").cast("long").alias("event_id"), F.col("x.language").alias("language"), "invalid")
 
 
-# --- telemetry ---------------------------------------------------------------------------------
+# telemetry
 
 
 def _log(spark, d):
@@ -483,7 +483,7 @@ def tuner_states(spark, d):
     return telemetry.tune(log)
 
 
-# --- whole plans -------------------------------------------------------------------------------
+# whole plans
 
 
 @_query(f"WITH {_CACHE_SQL}, " + _rule_sql("SELECT doc_id, text, md5(text) AS h FROM documents WHERE length(text) >= 2 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)").strip() + f"""
@@ -508,7 +508,7 @@ def model_only_labels(spark, d):
     return cascade.run_cascade(_items(spark, d), cascade.PRESETS["v8"]).select("id", "label")
 
 
-# --- files and streams -------------------------------------------------------------------------
+# files and streams
 
 
 def _folder(spark: SparkSession, name: str) -> str:

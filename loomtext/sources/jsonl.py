@@ -10,7 +10,7 @@ from loomtext.operators.parsing import is_object
 
 #: Keys whose values are texts, in the order of each reader.
 BODY_FIRST, TEXT_FIRST = ("body", "text"), ("text", "body")
-DETECTOR = ("body", "text", "content", "comment", "message")
+DETECTOR = tuple("body text content comment message".split())
 IDS = ("id", "_id", "cid")
 
 
