@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by merge replay over a block's vocabulary.
 
-The texts of a block of documents (``BLOCK_BYTES`` of text) become positions in one vocabulary of
+The texts of a block of documents (``BLOCK_CHARS`` characters) become positions in one vocabulary of
 distinct words. An inverted index maps each mergeable pair, named by the rank of what it merges to,
 to its word positions; merges are applied in rank order to all their positions at once, and only
 the neighbours they touch are looked up and indexed again. Each occurrence then takes its word's ids.
@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtext.llm.common import free_name
+from loomtext.llm.common import bound_batches, free_name
 
-BLOCK_BYTES = 32 << 20
+BLOCK_CHARS = 8 << 20
 NONE = np.int32(2**31 - 1)
 
 
@@ -182,7 +182,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], column: int, merges: Merges, pat
         yield from flush()
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", block: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", block: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with ``ids`` (array of int) appended under a free name; text isn't changed.
 
     Every match of ``pattern`` is encoded by itself, special tokens are plain text. Null and empty
@@ -190,6 +190,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     every match of the pattern have no ids (the public patterns match all).
     """
     name = free_name(docs, ids)
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     at = docs.columns.index(text)
     out = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType(), False), True)])

@@ -29,6 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Have texts cross to Python in Arrow batches of ``size`` bytes; sets the session's
+    ``spark.sql.execution.arrow.maxBytesPerBatch``, whose default of 64 MB a worker can't afford several times over."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def stored(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
