@@ -70,15 +70,18 @@ def _ask(provider: LabelProvider, items: list[dict], attempts: int, wait: float)
 def label_batches(items: DataFrame, provider: LabelProvider, retry: Retry = Retry(), batch: int = 40) -> DataFrame:
     """``(id string, text string)`` to ``id, label, failure``: every row comes back, with a label or a reason.
 
+    With a ``hint`` column its value goes to the provider as the item's ``hint``.
+
     Items missing from a batch's answer are asked for one by one. Labels outside the domain fail
     as ``unknown_label``. Ids within a batch should be distinct; rows that repeat one get the same label.
     """
+    hinted = "hint" in items.columns
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
             for at in range(0, len(f), batch):
-                part = [{"id": i, "text": t or ""} for i, t in zip(f["id"][at : at + batch], f["text"][at : at + batch])]
+                part = [{"id": x["id"], "text": x["text"] or "", **({"hint": x["hint"]} if hinted else {})} for x in f.iloc[at : at + batch].to_dict("records")]
                 got, why = _ask(provider, part, retry.batch, retry.wait)
                 for x in part:
                     label, reason = got.get(x["id"]), why
@@ -93,7 +96,7 @@ def label_batches(items: DataFrame, provider: LabelProvider, retry: Retry = Retr
                         out.append((x["id"], label, None))
             yield pd.DataFrame(out, columns=["id", "label", "failure"])
 
-    return items.select("id", "text").mapInPandas(run, "id string, label string, failure string")
+    return items.select("id", "text", *["hint"] * hinted).mapInPandas(run, "id string, label string, failure string")
 
 
 def bpe_token_count(text: Column, encoding) -> Column:

@@ -41,7 +41,16 @@ def run_stream(items: DataFrame, out: str, checkpoint: str, preset: Preset = PRE
     """Label a stream in micro-batches: each batch's files go to its own folder, overwritten if the batch runs again."""
 
     def write(batch: DataFrame, number: int) -> None:
+        batch.persist()  # the cascade reads its items twice; a micro-batch is small
         labelled = run_cascade(batch, preset, cache=cache() if cache else None, provider=provider)
         labelled.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.unpersist()
 
     return items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def progress(query: StreamingQuery) -> DataFrame:
+    """``batch, ts, rows, rows_per_s`` of the query's latest micro-batches, for rates and remaining time."""
+    rows = [(p["batchId"], p["timestamp"], int(p["numInputRows"]), float(p.get("processedRowsPerSecond") or 0.0)) for p in query.recentProgress]
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(rows, "batch long, ts string, rows long, rows_per_s double").withColumn("ts", F.to_timestamp("ts"))

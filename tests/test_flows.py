@@ -134,6 +134,15 @@ def test_hash_provider_is_its_expression(spark):
     assert both.where("label = e").count() == 50
 
 
+def test_hints_reach_the_provider(spark):
+    class Hinted:
+        def label(self, items):
+            return [{"id": x["id"], "language": x["hint"]} for x in items]
+
+    items = spark.createDataFrame([("1", "t", "Sheng"), ("2", None, None)], "id string, text string, hint string")
+    assert _rows(providers.label_batches(items, Hinted())) == [("1", "Sheng", None), ("2", None, "empty_response")]
+
+
 def test_cascade(spark):
     items = spark.createDataFrame([("1", "The weather is nice today"), ("2", "mimi"), ("3", "mimi"), ("4", "zz yy"), ("5", "zz yy"), ("6", "x"), (None, "no id here at all"), ("7", "done already today my")], "id string, text string")
     cache = spark.createDataFrame([(items.select(X.hash_key(F.lit("mimi"))).first()[0], "Swahili")], "h string, label string")
@@ -205,8 +214,12 @@ def test_sinks(spark, tmp_path):
 def test_streams(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.jsonl").write_text('{"id":"1","body":"The weather is nice today"}\n{"id":"2","body":"zz"}\nbad\n')
-    run = lambda: streams.run_stream(streams.stream_items(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    run()
+    def run():
+        q = streams.run_stream(streams.stream_items(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"))
+        q.awaitTermination()
+        return q
+
+    assert streams.progress(run()).agg(F.sum("rows")).first()[0] == 3
     (tmp_path / "in" / "2.jsonl").write_text('{"id":"3","body":"mimi na wewe"}\n')
     run()
     got = {r.id: r.label for r in spark.read.parquet(str(tmp_path / "out")).collect()}
