@@ -38,11 +38,16 @@ CELL_COLUMNS = [x.split()[0] for x in CELLS.split(", ")]
 FOUND = "kind int, a long, b long, " + CELLS
 
 
+_ROTATIONS: dict[tuple[int, int, int], np.ndarray] = {}
+
+
 def rotation(dim: int, which: int, seed: int = SEED) -> np.ndarray:
-    """A random orthogonal matrix, the same on every machine."""
-    rng = np.random.default_rng([seed, dim, which])
-    q, r = np.linalg.qr(rng.standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+    """A random orthogonal matrix, the same on every machine; made once in a process."""
+    key = (dim, which, seed)
+    if key not in _ROTATIONS:
+        q, r = np.linalg.qr(np.random.default_rng([seed, dim, which]).standard_normal((dim, dim)))
+        _ROTATIONS[key] = q * np.sign(np.diag(r))
+    return _ROTATIONS[key]
 
 
 def table_plan(vectors: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
@@ -67,7 +72,10 @@ def packed(x) -> bytes | None:
 
 def units(vecs, dim: int) -> np.ndarray:
     """Unit vectors in double precision from packed ones of one length."""
-    v = np.stack([np.frombuffer(x, np.float32 if len(x) == 4 * dim else np.float64).astype(np.float64) for x in vecs])
+    if {len(x) for x in vecs} == {4 * dim}:
+        v = np.frombuffer(b"".join(vecs), np.float32).reshape(-1, dim).astype(np.float64)
+    else:
+        v = np.stack([np.frombuffer(x, np.float32 if len(x) == 4 * dim else np.float64).astype(np.float64) for x in vecs])
     v /= np.abs(v).max(1, keepdims=True)
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
@@ -87,11 +95,11 @@ def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return turned, signs, (turned * signs).sum(1)
 
 
-def linked_pairs(unit: np.ndarray, plan: tuple[int, int], grid: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def linked_pairs(unit: np.ndarray, coded: tuple[np.ndarray, np.ndarray, np.ndarray], plan: tuple[int, int], grid: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs i < j of a cell that link and share no table before ``grid``, chunk by chunk."""
     n, dim = unit.shape
     keys = None
-    turned, signs, factor = codes(unit)
+    turned, signs, factor = coded
     slack = SIGMAS * np.sqrt(np.maximum(0.0, 1 - factor**2)) / factor / math.sqrt(max(1, dim - 1))
     out_i, out_j = [], []
     for lo in range(0, n, 256):
@@ -133,23 +141,41 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _settle(x: pd.DataFrame, plan: tuple[int, int], threshold: float) -> tuple[dict[int, int], set[tuple[int, int]]]:
-    """Weights linked to each node, and a forest of the links, of one cell.
+    """Weights linked to each node, and a forest of the links, of all cells in ``x``, whose rows stand cell by cell.
 
-    In a part of a large cell, a pair inside one chunk counts only where the chunk is alone or stands first for it.
+    Units and codes are computed for all rows of a length at once. In a part of a large cell, a
+    pair inside one chunk counts only where ``home`` says so.
     """
-    x = x.sort_values("node", kind="stable")
-    i, j = linked_pairs(units(x["vec"], int(x["dim"].iloc[0])), plan, int(x["grid"].iloc[0]), threshold)
-    if "chunk" in x:
-        chunk = x["chunk"].to_numpy()
-        home = x["home"].to_numpy()
-        keep = (chunk[i] != chunk[j]) | home[i]
-        i, j = i[keep], j[keep]
-    node, weight = x["node"].to_numpy(), x["weight"].to_numpy()
-    got = np.bincount(i, weight[j], len(x)) + np.bincount(j, weight[i], len(x))
-    root = _forest(len(x), i, j)
-    some = np.flatnonzero(got)
-    links = {(int(node[k]), int(node[root[k]])) for k in some if root[k] != k}
-    return {int(node[k]): int(got[k]) for k in some}, links
+    counts: dict[int, int] = {}
+    links: set[tuple[int, int]] = set()
+    for dim, g in x.groupby("dim", sort=False):
+        node, weight, grid = g["node"].to_numpy(), g["weight"].to_numpy(), g["grid"].to_numpy()
+        cell = g[["grid", "cell", "part"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]).any(1)])
+        ends = np.r_[starts[1:], len(g)]
+        several = ends - starts > 1
+        if not several.any():
+            continue
+        unit = units(g["vec"].to_numpy(), dim)
+        turned, signs, factor = codes(unit)
+        parts = (g["chunk"].to_numpy(), g["home"].to_numpy()) if "chunk" in g else None
+        for lo, hi in zip(starts[several].tolist(), ends[several].tolist()):
+            at = slice(lo, hi)
+            i, j = linked_pairs(unit[at], (turned[at], signs[at], factor[at]), plan, int(grid[lo]), threshold)
+            if parts is not None:
+                chunk, home = parts[0][at], parts[1][at]
+                keep = (chunk[i] != chunk[j]) | home[i]
+                i, j = i[keep], j[keep]
+            if not len(i):
+                continue
+            n, w = node[at], weight[at]
+            got = np.bincount(i, w[j], hi - lo) + np.bincount(j, w[i], hi - lo)
+            root = _forest(hi - lo, i, j)
+            for k in np.flatnonzero(got).tolist():
+                counts[int(n[k])] = counts.get(int(n[k]), 0) + int(got[k])
+                if root[k] != k:
+                    links.add((int(n[k]), int(n[root[k]])))
+    return counts, links
 
 
 def _cells(batches: Iterator[pd.DataFrame], plan: tuple[int, int], limit: int, threshold: float) -> Iterator[pd.DataFrame]:
@@ -159,16 +185,7 @@ def _cells(batches: Iterator[pd.DataFrame], plan: tuple[int, int], limit: int, t
     large, passed = None, 0
 
     def done(x: pd.DataFrame) -> pd.DataFrame:
-        counts: dict[int, int] = {}
-        links: set[tuple[int, int]] = set()
-        k = x[keys].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(1)]) if len(x) else np.zeros(0, int)
-        ends = np.r_[starts[1:], len(x)]
-        for i, j in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-            c, f = _settle(x.iloc[i:j], plan, threshold)
-            for n, w in c.items():
-                counts[n] = counts.get(n, 0) + w
-            links |= f
+        counts, links = _settle(x, plan, threshold)
         rows = [(0, n, w) for n, w in counts.items()] + [(1, a, b) for a, b in sorted(links)]
         out = pd.DataFrame(rows, columns=["kind", "a", "b"])
         return out.assign(grid=0, cell=0, part=0, node=0, weight=0, vec=b"", dim=0)
@@ -235,8 +252,7 @@ def near_links(nodes: DataFrame, bits: int, tables: int, threshold: float = THRE
             keys = ["grid", "cell", "part"]
             last = (x[keys].to_numpy() == x[keys].iloc[-1].to_numpy()).all(1)
             held, ready = x[last], x[~last]
-            for _, g in ready.groupby(keys, sort=False):
-                yield _rows(*_settle(g, plan, threshold))
+            yield _rows(*_settle(ready, plan, threshold))
         if held is not None:
             yield _rows(*_settle(held, plan, threshold))
 
