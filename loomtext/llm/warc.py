@@ -269,6 +269,7 @@ def archive(pages: DataFrame, folder: str | None = None, payloads: bool = True)
     folder = folder or f"{shared_dir(spark)}/loomtext-warc-{uuid.uuid4().hex}"
     runs = stored(write_archives(mark_revisits(pages), folder), "runs")
     history = stored(merge_index(runs), "history")
-    files = history.select("file").distinct()
-    files = files.repartition(max(1, files.count()), "file")
+    # A table of its own and an exact number of partitions: a task for each archive, however short the names are.
+    files = stored(history.select("file").distinct(), "files")
+    files = files.repartition(max(1, files.count()))
     return history, read_archives(files, payloads)
