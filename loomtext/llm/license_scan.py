@@ -1,7 +1,8 @@
 """Licence scans: sparse TF-IDF cosine of sentences to templates, then inheritance from the nearest directory.
 
-Sentences with a trigger word are compared with short templates of notices. Document frequencies of the
-templates' terms are counted over all sentences of the corpus that have a trigger. A file whose
+Sentences with a trigger word are compared with short templates of notices. Document frequencies of all
+their terms are counted over the sentences of the corpus that have a trigger; a term in fewer than one of
+``RARE`` sentences weighs as one in ``RARE``, so weights follow shares of sentences, not the size of the corpus. A file whose
 words are mostly notices, or that is named like a licence file, licenses its directory; a file
 without a notice of its own takes the licence of its nearest ancestor directory that has one.
 
@@ -24,6 +25,7 @@ from loomtext.llm.common import stored, word_count
 
 THRESHOLD = 0.8
 FILE_SHARE = 50
+RARE = 16
 TRIGGER = r"(?i)licen[sc]|copyright|spdx|public domain|creative commons|\bcc[ -]by|\bcc0|\bgpl|permission is hereby granted|redistribution and use"
 FILE_NAME = r"(?i)^(un)?licen[sc]e|^copying"
 TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
@@ -78,7 +80,7 @@ class Scorer:
 
     def _vector(self, text: str) -> dict[str, float]:
         tf = Counter(self.find(text.lower()))
-        w = {t: c * (1 + math.log((1 + self.n) / (1 + self.frequency.get(t, 0)))) for t, c in tf.items()}
+        w = {t: c * (1 + math.log((1 + self.n) / (1 + max(self.frequency.get(t, 0), self.n / RARE)))) for t, c in tf.items()}
         norm = math.sqrt(sum(x * x for x in w.values())) or 1.0
         return {t: x / norm for t, x in w.items()}
 
@@ -107,10 +109,10 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = stored(found.withColumn("dir", F.regexp_replace(path, "/?[^/]*$", "")), "notices")
     said = found.where(F.size("said") > 0).select(F.explode("said").alias("s"))
     n = said.count()
-    known = sorted({t for _, x in TEMPLATES for t in Counter(Scorer({}, 0).find(x.lower()))})
-    # At most a row for each term of the templates reaches the driver.
-    terms_of = said.select(F.explode(F.array_distinct(terms(F.col("s")))).alias("t")).where(F.col("t").isin(known))
-    frequency = {r["t"]: r["count"] for r in terms_of.groupBy("t").count().collect()}
+    # All terms are counted; those at or under the floor weigh the same, so only terms of more than one in RARE
+    # sentences reach the driver: at most RARE times the mean number of terms of a sentence.
+    terms_of = said.select(F.explode(F.array_distinct(terms(F.col("s")))).alias("t"))
+    frequency = {r["t"]: r["count"] for r in terms_of.groupBy("t").count().where(F.col("count") * RARE > n).collect()}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = Scorer(frequency, n)

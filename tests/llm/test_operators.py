@@ -372,6 +372,16 @@ def test_licenses(spark):
     ])
 
 
+@pytest.mark.parametrize("copies", [1, 400])
+def test_license_verdicts_do_not_fall_with_the_corpus(spark, copies):
+    mix = ["This work is licensed under the GNU General Public License, version 3."] * 5 + ["Licensed under CC BY-NC 4.0."] * 4 + ["Released under the MIT License."] * 4 + ["Licensed under the Apache License, Version 2.0."] * 4
+    notices = ["This module is licensed under the GNU General Public License, version 3.", "This project is licensed under the terms of the MIT license, see README."]
+    texts = notices + ["the license fee of our driver was paid under protest to this work of general use"] + mix * copies
+    df = spark.createDataFrame([(i, f"d{i}/x", t) for i, t in enumerate(texts)], "id long, path string, text string")
+    got = {r.id: r.own_license for r in license_scan.scan(df).where("id < 3").collect()}
+    assert got == {0: "GPL-3.0", 1: "MIT", 2: None}
+
+
 # --- 9 SimHash ---
 
 
