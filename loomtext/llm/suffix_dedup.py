@@ -414,20 +414,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def _cut(text: bytes, key: int, wanted: np.ndarray, verdicts: dict) -> tuple[bytes, int, int, int]:
     """The bytes that stay, the text's size, the bytes that go, and the number of their runs."""
-    spans: list[tuple[int, int]] = []
+    found: set[tuple[int, int]] = set()
     if len(wanted) and len(text) >= LENGTH:
         h, first, last = runs(text)
         h = h.view(np.int64)
         hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h)
         for i, j in zip(first[hit].tolist(), (last[hit] + LENGTH).tolist()):
             name = xxhash.xxh64_intdigest(text[i:j])
-            for a, b, doc in verdicts.get(name - (1 << 64) if name >> 63 else name, ()):
-                if doc < key:
-                    a, b = i + a, i + b + LENGTH
-                    if spans and a <= spans[-1][1]:
-                        spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-                    else:
-                        spans.append((a, b))
+            found.update((i + a, i + b + LENGTH) for a, b, doc in verdicts.get(name - (1 << 64) if name >> 63 else name, ()) if doc < key)
+    # A segment that was gathered several times has verdicts in no order.
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
+        else:
+            spans.append((a, b))
     at, kept = 0, []
     for a, b in spans:
         kept.append(text[at:a])

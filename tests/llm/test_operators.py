@@ -154,6 +154,26 @@ def test_suffix_dedup_periods_and_edges(spark):
     _same([tuple(r) for r in suffix_dedup.digests(df).collect()], _repeats_brute(rows))
 
 
+def test_suffix_dedup_with_several_gathers_a_block(spark, monkeypatch):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    texts = [base[(a := rng.randint(0, 200)) : a + rng.randint(60, 200)] for _ in range(60)] + [base[20:], base, base, base[5:300]]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(suffix_dedup, "GATHER_BYTES", 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    _same([tuple(r) for r in suffix_dedup.digests(df).collect()], _repeats_brute(rows))
+
+
+def test_cut_takes_verdicts_in_any_order():
+    text = bytes(range(60, 130))
+    h, first, last = suffix_dedup.runs(text)
+    verdicts = {}
+    for i, j in zip(first.tolist(), last.tolist()):
+        name = xxhash.xxh64_intdigest(text[i : j + suffix_dedup.LENGTH])
+        verdicts[name - (1 << 64) if name >> 63 else name] = [(k, k, 0) for k in reversed(range(j - i + 1))] * 2
+    assert suffix_dedup._cut(text, 5, np.sort(h.view(np.int64)), verdicts) == (b"", 70, 70, 1)
+
+
 def test_shard_merge_equals_one_sort(monkeypatch):
     rng = random.Random(2)
     segments = list(dict.fromkeys(bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randint(50, 74))) for _ in range(120)))
