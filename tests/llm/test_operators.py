@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -402,6 +403,27 @@ def test_license_verdicts_do_not_fall_with_the_corpus(spark, copies):
     assert got == {0: "GPL-3.0", 1: "MIT", 2: None}
 
 
+def test_wrapped_licenses(spark):
+    import textwrap
+
+    folder = Path(license_scan.__file__).parent / "licenses"
+    read = {f.stem: f.read_text() for f in folder.glob("*.txt")}
+    mit = read["MIT"].replace("[year] [copyright holders]", "2021 Somebody Else")
+    narrow = "\n\n".join(textwrap.fill(p, 50) for p in mit.split("\n\n"))
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    starred = "/* tool.c\n *\n" + textwrap.fill(gpl, 60, initial_indent=" * ", subsequent_indent=" * ") + "\n */\nint main() { return 0; }\n"
+    code = "x = call(1)\n" * 300
+    files = [(1, "a/LICENSE", narrow), (2, "a/x.py", None), (3, "b/tool.c", starred), (4, "c/m.py", "".join(f"# {x}\n" for x in narrow.split("\n")) + "\n" + code)]
+    files += [(5, "d/lesser.h", starred.replace("General", "Lesser General").replace("version 3", "version 2.1")), (6, "e/essay", "the licence of the old inn was of no use to the men and " * 400)]
+    files += [(10 + i, f"full{i}/COPYING", "\n".join(read[k].split("\n"))) for i, k in enumerate(sorted(read))]
+    files += [(40, "f/COPYING", read["GPL-3.0"].replace("GENERAL PUBLIC", "AFFERO GENERAL PUBLIC").replace("GNU General Public", "GNU Affero General Public").replace("29 June", "19 November").replace("13. Use with the GNU Affero", "13. Remote Network Interaction; Use with the GNU"))]
+    df = spark.createDataFrame(files, "id long, path string, text string").repartition(4)
+    got = {r.id: (r.own_license, r.license, r.origin) for r in license_scan.scan(df).collect()}
+    own = lambda k: (k, k, "own")
+    want = {1: own("MIT"), 2: (None, "MIT", "inherited"), 3: own("GPL-3.0"), 4: own("MIT"), 5: own("LGPL-2.1"), 6: (None, None, "none"), 40: own("AGPL-3.0")}
+    assert got == want | {10 + i: own(k) for i, k in enumerate(sorted(read))}
+
+
 # --- 9 SimHash ---
 
 
