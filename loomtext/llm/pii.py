@@ -27,7 +27,12 @@ US_DATE = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
 DOT_DATE = r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])"
+#: Cards are unbroken, or 4-4-4-4 (and 3 more), 4-6-5 or 4-6-4 with one kind of separator, so that a separator doesn't join
+#: a card to the next number; digits in other groups are a card only as a whole, where no such form is among them.
+_GROUPED = "|".join(rf"[0-9]{{4}}(?:{c}[0-9]{{4}}){{3}}(?:{c}[0-9]{{3}}(?![ \-./]?[0-9]))?|[0-9]{{4}}{c}[0-9]{{6}}{c}[0-9]{{4,5}}" for c in (" ", "-"))
+_FORMS = rf"(?<![0-9])(?:[0-9]{{13,19}}|{_GROUPED})(?![0-9])"
+_LOOSE = rf"(?<![0-9])(?=[0-9](?:[ \-]?[0-9]){{12}})(?![0-9 \-]*?{_FORMS})[0-9](?:[ \-]?[0-9]){{12,18}}(?![0-9]|\.[0-9])"
+CARD = f"(?:{_FORMS}|{_LOOSE})"
 ANY = "|".join((EMAIL, SECRET, IPV4, ISO_DATE, US_DATE, DOT_DATE, SSN, PHONE, CARD))
 #: Days from 1800-01-01 through 2199-12-31, a whole Gregorian cycle: 627 x 233.
 FIRST_DAY, DAYS, DAY_LEFT, DAY_RIGHT = "1800-01-01", 146097, 627, 233
@@ -98,7 +103,14 @@ def _card(m: Column) -> Column:
         head = F.transform(F.array(out), lambda x: F.concat(F.substring(d, 1, 1), _padded(x["l"], u), _padded(x["r"], v)))[0]
         return F.transform(F.array(head), lambda h: F.concat(h, ((10 - luhn_sum(F.concat(h, F.lit("0"))) % 10) % 10).cast("string")))[0]
 
-    return F.transform(F.array(_digits(m)), lambda d: F.when(luhn_sum(d) % 10 == 0, _refill(m, made(d))).otherwise(m))[0]
+    def checked(m: Column, other: Column) -> Column:
+        return F.transform(F.array(_digits(m)), lambda d: F.when(luhn_sum(d) % 10 == 0, _refill(m, made(d))).otherwise(other))[0]
+
+    # A number of three digits after 4-4-4-4 is the end of a card of 19 digits only where the first 16 aren't a card.
+    tail = F.when(m.rlike(r"^[0-9]{4}(?:[ \-][0-9]{4}){3}[ \-][0-9]{3}$"), F.substring(m, 20, 4)).otherwise("")
+    head = F.substr(m, F.lit(1), F.length(m) - F.length(tail))
+    whole = F.when(tail != "", checked(m, m)).otherwise(m)
+    return F.transform(F.array(checked(head, F.lit(None).cast("string"))), lambda x: F.coalesce(F.concat(x, tail), whole))[0]
 
 
 def _phone(m: Column) -> Column:

@@ -348,6 +348,22 @@ def test_pii(spark):
     assert re.search(r'token = "[0-9a-f]{40}" ssn \d{3}-\d{2}-\d{4} 000-12-1234', by[texts[4][1]][0])
 
 
+def test_cards_beside_other_numbers(spark):
+    card, spaced, amex = "4111111111111111", "4111 1111 1111 1111", "3782 822463 10005"
+    long = next(f"6011 0000 0000 0000 {k:03}" for k in range(1000) if _luhn(f"6011000000000000{k:03}") and not _luhn("6011000000000000"))
+    texts = [
+        (f"{spaced} 123", [spaced], 1), (f"{spaced} 12/25", [spaced], 1), (f"2 {card}", [card], 1), (f"{card} 4465758382889437", [card, "4465758382889437"], 2),
+        ("9807915762804490 233.254.104.120", ["233.254.104.120"], 1), (f"{spaced} 233.254.104.120", [spaced, "233.254.104.120"], 2), (f"{card} a.b@x.example.com", [card, "a.b@x.example.com"], 2),
+        (f"{amex} 7", [amex], 1), (long, [long], 1), ("41111111 11111111", ["41111111 11111111"], 1), (f"{spaced.replace(' ', '-')} 123-45-6789", [spaced.replace(" ", "-"), "123-45-6789"], 2), ("1234 5678 9012 3456 789", [], 0),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_pii) for r in pii.pseudonymise(df).collect()}
+    assert [got[i][1] for i in range(len(texts))] == [n for *_, n in texts]
+    for i, (_, gone, _) in enumerate(texts):
+        assert all(x not in got[i][0] for x in gone)
+    assert got[0][0].endswith(" 123") and _luhn(got[0][0][:19].replace(" ", "")) and got[2][0].startswith("2 ")
+
+
 def test_feistel_is_a_permutation(spark):
     n = spark.range(29 * 7)
     out = n.select(pii.feistel(F.col("id") % 29, F.floor(F.col("id") / 29), F.lit(29), F.lit(7), "t").alias("x")).select("x.*").collect()
