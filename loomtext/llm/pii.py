@@ -3,6 +3,8 @@
 Values that pass their format's check (Luhn sums, octets, calendar days, number plans) are permuted
 by a keyed Feistel network inside that format, so equal values stay equal across documents and
 different ones stay different. Mail addresses and hex secrets have no such small domain; they get keyed digests.
+Phones are covered as ``(ddd) ddd-dddd``, ``ddd-ddd-dddd`` or ``ddd.ddd.dddd``, with or without ``+`` and a country code, not
+space-separated, unseparated or in other national forms; dates as yyyy-MM-dd, MM/dd/yyyy and dd.MM.yyyy, not with the day first before slashes.
 A text is split at its matches and put together again around their pseudonyms; a text
 without a digit or an @ isn't searched further.
 """
