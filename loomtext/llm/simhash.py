@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import free_name, stored
+from loomtext.llm.common import columns, discard, free_name, stored
 from loomtext.llm.components import connected_components
 
 SHINGLE = 3
@@ -59,22 +60,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp long)`` of every row."""
+    """``(doc_id, fp long)`` of every row. Ids pass through Arrow untouched."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": np.fromiter(map(fingerprint, b["text"]), np.int64, len(b))})
+            fps = np.fromiter(map(fingerprint, b.column(1).to_pylist()), np.int64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_nullable(run), "doc_id long, fp long")
-
-
-def _nullable(run):
-    """Ids with nulls come as floats; keep them whole by carrying them as nullable integers."""
-
-    def wrapped(batches):
-        return run(b.assign(doc_id=b["doc_id"].astype("Int64")) if b["doc_id"].dtype.kind == "f" else b for b in batches)
-
-    return wrapped
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def blocks_for(fingerprints: int) -> int:
@@ -177,19 +170,21 @@ def _cells(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFrame
 LINKS = "a long, b long, kind int, grid int, cell long, fp long, code long"
 
 
-def fingerprint_links(nodes: DataFrame, blocks: int = BLOCKS, limit: int = CELL) -> DataFrame:
-    """``(node long, fp long)``, fps distinct, to links ``(a, b)`` whose components are those of all links."""
+def fingerprint_links(nodes: DataFrame, blocks: int = BLOCKS, limit: int = CELL, paths: list[str] | None = None) -> DataFrame:
+    """``(node long, fp long)``, fps distinct, to links ``(a, b)`` whose components are those of all links.
+
+    ``paths`` gets the intermediate data that the result reads."""
     code = nodes.select("node", "fp", thermometer(F.col("fp")).alias("code"))
     grids = F.explode(F.array(*[F.struct(F.lit(i).alias("grid"), F.col("code").bitwiseAND(F.lit(m)).alias("cell")) for i, m in enumerate(grid_masks(blocks))]))
-    rows = code.select("node", "fp", "code", grids.alias("g")).select("node", "fp", "code", "g.grid", "g.cell", F.lit(0).alias("part"))
+    rows = code.select("node", "fp", "code", grids.alias("g")).select("node", "fp", "code", "g.grid", "g.cell", F.lit(0).cast("long").alias("part"))
     first = _in_cells(rows, limit)
-    found = stored(first, "cells")
+    found = stored(first, "cells", paths)
     big = found.where("kind = 1").select(F.col("a").alias("node"), "fp", "code", "grid", "cell", F.col("b").alias("chunk"))
     chunks = big.groupBy("grid", "cell").agg((F.max("chunk") + 1).alias("n"))
     # Every pair of chunks meets in one part: chunk c is in parts (min, max) for each other chunk.
     parts = big.join(chunks, ["grid", "cell"]).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     one = (F.col("n") == 1) | (F.col("o") != F.col("chunk"))
-    parts = parts.where(one).withColumn("part", (F.least("o", "chunk") * F.col("n") + F.greatest("o", "chunk")).cast("int"))
+    parts = parts.where(one).withColumn("part", (F.least("o", "chunk") * F.col("n") + F.greatest("o", "chunk")))
     second = _in_cells(parts.select("node", "fp", "code", "grid", "cell", "part"), limit)
     return found.where("kind = 0").select("a", "b").unionByName(second.where("kind = 0").select("a", "b"))
 
@@ -204,15 +199,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Fingerprints link at ``MAX_BITS`` or fewer differing bits; component_id is the smallest doc_id
     reachable. Null and wordless texts have fingerprint zero, linked like any other. A row with a
-    null id belongs to the component of its fingerprint, but gives it no name: null if no row has
-    one. Rows that repeat an id are returned as often. An empty table gives no rows.
+    null id links others, but gives the component no name: null if no row of it has an
+    id. Rows that repeat an id are returned as often. An empty table gives no rows.
     """
+    spark, paths = docs.sparkSession, []
     fps = stored(fingerprints(docs), "fps")
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    known = nodes.where("node is not null")
-    found = connected_components(fingerprint_links(known, blocks_for(known.count())), "a", "b")
-    named = nodes.join(found, "node", "left").select(F.col("fp"), F.coalesce("component_id", "node").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    # The fingerprint itself is the node, so ids of any value, and none, are alike.
+    links = fingerprint_links(named.select(F.col("fp").alias("node"), "fp"), blocks_for(named.count()), paths=paths)
+    found = connected_components(links, "a", "b")
+    rooted = named.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component_id", "fp").alias("root"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = stored(rooted.join(names, "root").select("fp", "component_id"), "components")
+    discard(spark, *paths)
+    return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -224,5 +224,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     comp = near_duplicates(docs)
     kept = comp.where("doc_id = component_id").select("doc_id").distinct()
     row = free_name(docs, "kept_row")
-    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text")).alias(row)).select(f"{row}.*")
+    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*columns(docs)), F.struct("text")).alias(row)).select(f"{row}.*")
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
