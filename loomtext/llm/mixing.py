@@ -4,7 +4,8 @@ Rows get hash-random keys; each source's rows are laid out in key order over key
 totals give distributed prefix sums; each source is cut at its exact word budget, whole epochs first.
 
 A hot source is no hot task: its keys are uniform, so equal-width key ranges hold about
-``RANGE_ROWS`` rows each, and only a row per range meets in the running sum over ranges.
+``RANGE_ROWS`` rows each, and only a row per range meets in the running sum over ranges. Rows with equal
+id, source and size (null ids above all) share a key; they are counted before the windows and dealt out again after them.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import free_name, stored, word_count
+from loomtext.llm.common import columns, free_name, stored, word_count
 
 SEED = "mix-1"
 WEIGHTS = (5, 2, 1)
@@ -30,13 +31,13 @@ def random_key(doc_id: Column, seed: str = SEED) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
-    """One row a source: ``source, source_size, source_rows, target``.
+    """``(source, size, n)``, n rows of that size, to a row a source: ``source, source_size, source_rows, target``.
 
     Targets are weight x level, stopped at ``epochs`` x size. The level at which they add up to
     ``share`` x all sizes is found exactly: by rising cap/weight, a source is stopped while the
     level that would hold without it stopped is at or above its cap/weight. This table has a row a source.
     """
-    total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
+    total = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.count("*").alias("source_rows"))
     ranked = total.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1).cast("int")).cast("long"))
     ranked = ranked.withColumn("cap", F.col("source_size") * epochs).withColumn("stop_at", F.col("cap").cast("double") / F.col("w"))
     rising = Window.orderBy(F.col("stop_at"), F.col("source").asc_nulls_last())
@@ -64,22 +65,24 @@ def mix(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = E
     repeat an id tie on the key and are ordered by size; equal ones are interchangeable. An empty
     table gives no rows.
     """
-    keyed = stored(sizes.select("doc_id", "source", F.col("size").cast("long").alias("size"), random_key(F.col("doc_id"), seed).alias("key")), "mix")
+    counted = sizes.groupBy("doc_id", "source", F.col("size").cast("long").alias("size")).agg(F.count("*").alias("n"))
+    keyed = stored(counted.withColumn("key", random_key(F.col("doc_id"), seed)), "mix")
     targets = stored(source_targets(keyed, weights, share, epochs), "targets")
     # Bits for the range number grow with the source's rows.
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("source_rows") / F.lit(RANGE_ROWS)))).cast("int")
     plan = targets.withColumn("shift", F.lit(KEY_BITS) - bits).drop("source_rows").withColumnRenamed("source", "s")
     # A row a source; as many rows as the corpus has sources. Spark's own size threshold decides on a broadcast.
     laid = keyed.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("range", F.expr("shiftright(key, shift)"))
-    ranges = laid.groupBy("source", "range").agg(F.sum("size").alias("words"))
+    ranges = laid.groupBy("source", "range").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     base = ranges.select(F.col("source").alias("bs"), F.col("range").alias("br"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = laid.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = laid.withColumn("within", F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0)))
     placed = placed.join(base, F.col("source").eqNullSafe(F.col("bs")) & (F.col("range") == F.col("br")))
     budget = F.round("target").cast("long")
     full = F.when(F.col("source_size") > 0, F.expr("cast(round(target) as bigint) div source_size")).otherwise(F.lit(0))
-    left = budget - full * F.col("source_size") - F.col("base") - F.col("within")
+    placed = placed.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    left = budget - full * F.col("source_size") - F.col("base") - F.col("within") - F.col("i") * F.col("size")
     taken = full * F.col("size") + F.least(F.greatest(left, F.lit(0)), F.col("size"))
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
@@ -105,7 +108,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     # Pieces end where a word ends, so the first `rest` pieces keep the white space between words.
     pieces = F.split(F.col("text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", (rest + 1).cast("int"))
     first = F.array_join(F.slice(pieces, F.lit(1), rest.cast("int")), "")
-    return cut.withColumn("text", F.when(rest >= n, F.col("text")).otherwise(first)).select(*docs.columns)
+    return cut.withColumn("text", F.when(rest >= n, F.col("text")).otherwise(first)).select(*columns(docs))
 
 
 def _row_key(doc_id: Column, source: Column, size: Column) -> Column:
