@@ -22,12 +22,11 @@ from collections import Counter
 from collections.abc import Iterator
 from importlib import resources
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import stored, word_count
+from loomtext.llm.common import lookup, stored, word_count
 
 THRESHOLD = 0.8
 FILE_SHARE = 50
@@ -37,7 +36,8 @@ FILE_NAME = r"(?i)^(un)?licen[sc]e|^copying"
 #: The same over line breaks and comment marks.
 WRAPPED = TRIGGER.replace("[ -]", " ").replace(" ", "[^A-Za-z0-9]+")
 LEAD = r"^[ \t]*(?:/?\*+/?|//+!?|#+!?|;+|--+|%+|<!--|-->)?[ \t]*"
-TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
+#: Possessive, so that terms of any length are matched without recursion.
+TERM = r"[a-z0-9]++(?:[.+-][a-z0-9]++)*+"
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
@@ -57,12 +57,16 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    *((f"CC-BY{short}-4.0", f"This work is licensed under a Creative Commons Attribution{long} 4.0 International License.")
+      for short, long in (("", ""), ("-SA", "-ShareAlike"), ("-NC", "-NonCommercial"), ("-ND", "-NoDerivatives"), ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives"))),
+    *((f"CC-BY-{x}-4.0", f"Licensed under CC BY-{x} 4.0.") for x in ("ND", "NC-SA", "NC-ND")),
     ("CC0-1.0", "Released under CC0 1.0 into the public domain."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
     *((name, f"This program is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation{tail}")
       for name, mark, kind, v in (("GPL-2.0", ";", "", "2"), ("GPL-3.0", ":", "", "3"), ("LGPL-2.1", ";", "Lesser ", "2.1"), ("LGPL-3.0", ":", "Lesser ", "3"), ("AGPL-3.0", ":", "Affero ", "3"))
       for tail in (f"; either version {v} of the License, or (at your option) any later version.", f", version {v} of the License.")),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
     *((name, f"SPDX-License-Identifier: {name}") for name in ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "CC0-1.0")),
 ]
@@ -190,7 +194,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     the root directory, whose name is empty. Repeated rows come out alike. An empty table gives no rows.
     """
     path = F.coalesce("path", F.lit(""))
-    found = files.select("id", "path", word_count(F.col("text")).alias("n_words"), sentences(F.coalesce("text", F.lit(""))).alias("said"), F.when(F.col("text").rlike(WRAPPED), F.col("text")).alias("text"))
+    found = files.select(F.col("id").cast("long").alias("id"), "path", word_count(F.col("text")).alias("n_words"), sentences(F.coalesce("text", F.lit(""))).alias("said"), F.when(F.col("text").rlike(WRAPPED), F.col("text")).alias("text"))
     found = stored(found.withColumn("dir", F.regexp_replace(path, "/?[^/]*$", "")), "notices")
     said = found.where(F.size("said") > 0).select(F.explode("said").alias("s"))
     n = said.count()
@@ -201,13 +205,15 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     full = full_texts()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         notices = Notices(frequency, n, full, threshold)
         for b in batches:
-            out = pd.DataFrame([notices.of(x) for x in b["text"]], columns=["own_license", "own_score", "notice_words"])
-            yield pd.concat([b[["id", "path", "dir", "n_words"]].reset_index(drop=True), out.astype({"own_score": float})], axis=1)
+            got = list(zip(*map(notices.of, b.column(4).to_pylist()))) or [(), (), ()]
+            columns = [*b.columns[:4], *(pa.array(x, t) for x, t in zip(got, (pa.string(), pa.float64(), pa.int64())))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "path", "dir", "n_words", "own_license", "own_score", "notice_words"])
 
-    with_notice = found.where("text IS NOT NULL").drop("said").mapInPandas(run, "id long, path string, dir string, n_words long, own_license string, own_score double, notice_words long")
+    noticed = found.where("text IS NOT NULL").select("id", "path", "dir", "n_words", "text")
+    with_notice = noticed.mapInArrow(run, "id long, path string, dir string, n_words long, own_license string, own_score double, notice_words long")
     without = found.where("text IS NULL").select("id", "path", "dir", "n_words", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("own_score"), F.lit(0).cast("long").alias("notice_words"))
     own = stored(with_notice.unionByName(without), "own")
     is_file = F.element_at(F.split(F.coalesce("path", F.lit("")), "/"), -1).rlike(FILE_NAME) | (F.col("notice_words") * 100 >= F.col("n_words") * FILE_SHARE)
@@ -215,8 +221,10 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     parts = F.split("dir", "/")
     ancestors = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(i.alias("depth"), F.array_join(F.slice(parts, F.lit(1), i), "/").alias("at")))
     dirs = own.select("dir").distinct().select("dir", F.explode(ancestors).alias("a")).select("dir", F.col("a.depth").alias("depth"), F.col("a.at").alias("at"))
-    near = dirs.join(licensed, "at").groupBy("dir").agg(F.max_by(F.struct("dir_license", "at"), "depth").alias("near"))
-    out = own.join(near, "dir", "left")
+    # The root is an ancestor of every directory, and one directory may hold a third of all files.
+    licensed = stored(licensed, "licensed")
+    near = lookup(dirs, licensed, "at", F.col("dir"), "inner").groupBy("dir").agg(F.max_by(F.struct("dir_license", "at"), "depth").alias("near"))
+    out = lookup(own, stored(near, "near"), "dir", F.concat_ws(" ", "path", F.col("id").cast("string")))
     mine = F.col("own_license").isNotNull()
     return out.select(
         "id", "path", "own_license", "own_score",
