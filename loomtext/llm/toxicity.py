@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import free_name, stored
+from loomtext.llm.common import columns, free_name, stored
 
 BITS = 20
 SAMPLE = 20_000
@@ -146,5 +146,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, in its own columns, that score under ``REJECT``."""
     text = free_name(docs, "scored_text")
-    seen = docs.select(F.struct(*docs.columns).alias(text), F.col("text"))
+    seen = docs.select(F.struct(*columns(docs)).alias(text), F.col("text"))
     return scores(seen, fit(docs, labels)).where("predicted = 0").select(f"{text}.*")
