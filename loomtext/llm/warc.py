@@ -3,10 +3,11 @@
 Writing: each task writes one archive (a gzip member for each record) and keeps the index lines of
 its records as a run sorted by URL key and time. Merging: runs are dealt by key range, and each
 range merges its slices of the runs with a loser tree, so the ranges in order are the global
-capture history. Reading: archives are streamed record by record.
+capture history. Reading: the history names each record's file, offset and length; lines are dealt by file and place,
+so a task reads its part of an archive from front to back, and each record must agree with its line.
 
-Files go through pyarrow's file systems, so a shared folder may be of any kind they open. A file is
-written under a name of its attempt and renamed when it is whole: tasks may run again.
+Files go through pyarrow's file systems (local and mounted folders, HDFS, S3, GCS, Azure); another kind of shared folder is an error. A file is
+written under a name of its attempt and renamed when it is whole: tasks may run again. Rows cross to Python as Arrow, so ids stay whole.
 """
 
 from __future__ import annotations
@@ -16,16 +17,17 @@ import hashlib
 import io
 import uuid
 import zlib
+from collections import namedtuple
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from urllib.parse import urlsplit
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import shared_dir, stored
+from loomtext.llm.common import lookup, scratch, stored
 
 #: Payloads under this many bytes never become revisits.
 MIN_REVISIT = 1000
@@ -33,8 +35,20 @@ MIN_REVISIT = 1000
 RANGE_LINES = 200_000
 #: Archives are read in pieces of this size.
 CHUNK = 1 << 20
+#: Bytes of an archive that a task reads by the index, at most.
+SLICE = 64 << 20
 EPOCH = datetime(2020, 1, 1, tzinfo=timezone.utc)
 INDEX = "urlkey string, ts string, page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, file string, offset long, length long, run long, seq long"
+READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, ts string, payload binary"
+Line = namedtuple("Line", [x.split()[0] for x in INDEX.split(", ")])
+_ARROW = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows as Arrow, with nulls as nulls."""
+    fields = [x.split() for x in schema.split(", ")]
+    cols = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, (_, t) in zip(cols, fields)], names=[n for n, _ in fields])
 
 
 def url_key(url: str | None) -> str:
@@ -110,7 +124,7 @@ class LoserTree:
 
 
 def index_key(x) -> tuple:
-    known = not pd.isna(x.page_id)
+    known = x.page_id is not None
     return (x.urlkey, x.ts, known, x.page_id if known else 0, x.file, x.offset)
 
 
@@ -119,24 +133,27 @@ def mark_revisits(pages: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
 
     Rows whose payloads (null: empty) are equal and of ``least`` bytes or more refer to the largest
     page_id among them, but for rows with that id. Where no id is known, none refers.
-    Only digests and ids are grouped; payloads stay where they are unless Spark must deal them for the join.
+    Payloads stay where they are while the digests that come back are few enough to broadcast (``common.lookup``).
+    Beyond that rows are dealt by digest and a salt, so a page in a third of the crawl is no single task's.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"), F.sha1(payload).alias("payload_digest"))
-    last = rows.where(F.octet_length("payload") >= least).groupBy(F.col("payload_digest").alias("d")).agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 AND last IS NOT NULL").drop("n")
-    joined = rows.join(last, F.col("payload_digest") == F.col("d"), "left")
+    again = rows.where(F.octet_length("payload") >= least).groupBy("payload_digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
+    last = stored(again.where("n > 1 AND last IS NOT NULL").drop("n"), "again")
+    joined = lookup(rows, last, "payload_digest", F.concat_ws(" ", F.col("page_id").cast("string"), "url"))
     return joined.select("page_id", "url", "payload", "payload_digest", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
-def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    system, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
-    return system, path
+def _open(where: str) -> tuple[fs.FileSystem, str]:
+    if where.startswith("file:/") and not where.startswith("file://"):
+        where = f"file://{where.removeprefix('file:')}"
+    return fs.FileSystem.from_uri(f"s3{where.removeprefix('s3a')}" if where.startswith("s3a://") else where)
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Write ``mark_revisits`` rows under ``folder``; gives the index lines, a sorted run for each archive."""
+    """Write ``mark_revisits`` rows under ``folder`` (a URI); gives the index lines, a sorted run for each archive."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get()
@@ -148,22 +165,18 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         lines, offset = [], 0
         with system.open_output_stream(attempt, compression=None) as out:
             for b in batches:
-                for r in b.itertuples(index=False):
-                    page = None if pd.isna(r.page_id) else int(r.page_id)
-                    refers = None if pd.isna(r.refers_to) else int(r.refers_to)
-                    member = gzip.compress(record(page, r.url, r.payload, r.payload_digest, refers), 6, mtime=0)
+                for page, url, payload, digest, refers in zip(*(c.to_pylist() for c in b.columns)):
+                    member = gzip.compress(record(page, url, payload, digest, refers), 6, mtime=0)
                     out.write(member)
                     kind = "response" if refers is None else "revisit"
-                    lines.append((url_key(r.url), capture_time(page), page, r.url, kind, r.payload_digest, len(r.payload), refers, f"{folder}/{name}", offset, len(member), part))
+                    lines.append((url_key(url), capture_time(page), page, url, kind, digest, len(payload), refers, f"{folder}/{name}", offset, len(member), part))
                     offset += len(member)
         system.move(attempt, f"{path}/{name}")
         lines.sort(key=lambda x: (x[0], x[1], x[2] is not None, x[2] or 0, x[9]))
         for i in range(0, len(lines), 10_000):
-            out = pd.DataFrame(lines[i : i + 10_000], columns=["urlkey", "ts", "page_id", "url", "record_type", "payload_digest", "payload_bytes", "refers_to", "file", "offset", "length", "run"])
-            out["seq"] = range(i, i + len(out))
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield _batch([(*x, i + k) for k, x in enumerate(lines[i : i + 10_000])], INDEX)
 
-    return pages.mapInPandas(run, INDEX)
+    return pages.mapInArrow(run, INDEX)
 
 
 def merge_index(runs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -174,24 +187,84 @@ def merge_index(runs: DataFrame, parts: int | None = None) -> DataFrame:
     """
     keys = ["urlkey", "ts", "page_id", "file", "offset"]
     n = parts or max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + runs.count() // RANGE_LINES)
-    columns = [x.split()[0] for x in INDEX.split(", ")]
 
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, at = TaskContext.get().partitionId(), 0
         slices: dict[int, list] = {}
         for b in batches:
-            for r in b.itertuples(index=False):
+            for r in map(Line, *(c.to_pylist() for c in b.columns)):
                 slices.setdefault(r.run, []).append(r)
-        # Rows of a run may arrive in pieces; their numbers in the run put them in order again.
-        tree = iter(LoserTree([sorted(s, key=lambda r: r.seq) for _, s in sorted(slices.items())], index_key))
+        # A run's slice mostly arrives whole and in order; where it came in pieces, its lines' numbers put them in order again.
+        for s in slices.values():
+            if any(a.seq > b.seq for a, b in zip(s, s[1:])):
+                s.sort(key=lambda r: r.seq)
+        tree = iter(LoserTree([s for _, s in sorted(slices.items())], index_key))
         while rows := [r for _, r in zip(range(10_000), tree)]:
-            out = pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
-            yield out.assign(part=part, at=range(at, at + len(out)))
-            at += len(out)
+            yield _batch([(*r, part, at + k) for k, r in enumerate(rows)], f"{INDEX}, part int, at long")
+            at += len(rows)
+
+    return runs.repartitionByRange(n, *keys).mapInArrow(merge, f"{INDEX}, part int, at long")
+
 
-    return runs.repartitionByRange(n, *keys).mapInPandas(merge, f"{INDEX}, part int, at long")
+def _parsed(whole: io.BytesIO, name: str) -> tuple[dict[str, str], bytes]:
+    """Headers and block of one uncompressed record."""
+    if not whole.readline().startswith(b"WARC/"):
+        raise ValueError(f"{name}: not a WARC record")
+    heads = {}
+    while (line := whole.readline()) not in (b"\r\n", b""):
+        k, _, v = line.decode().rstrip("\r\n").partition(": ")
+        heads[k] = v
+    return heads, whole.read(int(heads["Content-Length"]))
+
+
+def _row(heads: dict[str, str], body: bytes, name: str) -> tuple:
+    """A ``READ`` row. A response's size and digest are computed from its payload and must agree with its headers."""
+    digest, told, kind = heads["WARC-Payload-Digest"].removeprefix("sha1:"), int(heads["X-Payload-Length"]), heads["WARC-Type"]
+    if kind == "response" and (len(body), hashlib.sha1(body).hexdigest()) != (told, digest):
+        raise ValueError(f"{name}: a payload differs from its digest")
+    page, refers = (int(x) if x else None for x in (heads["X-Page-ID"], heads.get("X-Refers-To-Page")))
+    return page, told, digest, kind, refers, heads["WARC-Target-URI"], heads["WARC-Date"], body
+
+
+def read_history(history: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records that ``merge_index`` lines point to, with the lines' ``part`` and ``at``: in their order they are the capture history.
+
+    A record that isn't where its line says, or that differs from it, is an error.
+    """
+    spark, schema = history.sparkSession, f"{READ}, part int, at long"
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + int((history.agg(F.sum("length")).first()[0] or 0) // SLICE))
+    lines = history.select("file", "offset", "length", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "part", "at")
+    dealt = lines.repartition(n, "file", F.floor(F.col("offset") / SLICE)).sortWithinPartitions("file", "offset")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, source = None, None
+        at, data = 0, b""
+        for b in batches:
+            rows, size = [], 0
+            for file, offset, length, *line, part, place in zip(*(c.to_pylist() for c in b.columns)):
+                if file != name:
+                    if source is not None:
+                        source.close()
+                    system, path = _open(file)
+                    name, source, data = file, system.open_input_file(path), b""
+                if not at <= offset <= offset + length <= at + len(data):
+                    source.seek(offset)
+                    at, data = offset, source.read(max(length, CHUNK))
+                row = _row(*_parsed(io.BytesIO(gzip.decompress(data[offset - at : offset - at + length])), file), file)
+                if list(row[:5]) != line:
+                    raise ValueError(f"{file}: the record at {offset} isn't the one of the index")
+                rows.append((*row[:7], row[7] if payloads else None, part, place))
+                size += len(row[7]) if payloads else 0
+                if size > 16 << 20:
+                    yield _batch(rows, schema)
+                    rows, size = [], 0
+            yield _batch(rows, schema)
+        if source is not None:
+            source.close()
+
+    return dealt.mapInArrow(run, schema)
 
 
 def _records(system: fs.FileSystem, name: str) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -209,54 +282,25 @@ def _records(system: fs.FileSystem, name: str) -> Iterator[tuple[dict[str, str],
                     return
                 parts.append(unpack.decompress(data))
                 rest = unpack.unused_data
-            whole = io.BytesIO(b"".join(parts))
-            version = whole.readline()
-            if not version.startswith(b"WARC/"):
-                raise ValueError(f"{name}: not a WARC record")
-            heads = {}
-            while (line := whole.readline()) not in (b"\r\n", b""):
-                k, _, v = line.decode().rstrip("\r\n").partition(": ")
-                heads[k] = v
-            yield heads, whole.read(int(heads["Content-Length"]))
-
-
-READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, ts string, payload binary"
+            yield _parsed(io.BytesIO(b"".join(parts)), name)
 
 
 def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the archives named in ``files`` (column ``file``).
+    """The records of the archives named in ``files`` (column ``file``, URIs), read from front to back without an index."""
 
-    Sizes and digests of responses are computed from the payload read and must agree with the
-    headers; a revisit's are those of its headers.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name in (x for b in batches for x in b.column(0).to_pylist()):
+            rows, size = [], 0
+            for heads, body in _records(*_open(name)):
+                row = _row(heads, body, name)
+                rows.append(row if payloads else (*row[:7], None))
+                size += len(body) if payloads else 0
+                if len(rows) >= 5000 or size > 16 << 20:
+                    yield _batch(rows, READ)
+                    rows, size = [], 0
+            yield _batch(rows, READ)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for name in b["file"]:
-                system, path = _open(name)
-                rows, size = [], 0
-                for h, body in _records(system, path):
-                    digest, told = h["WARC-Payload-Digest"].removeprefix("sha1:"), int(h["X-Payload-Length"])
-                    kind = h["WARC-Type"]
-                    if kind == "response":
-                        if (len(body), hashlib.sha1(body).hexdigest()) != (told, digest):
-                            raise ValueError(f"{name}: a payload differs from its digest")
-                    rows.append((h["X-Page-ID"] or None, told, digest, kind, h.get("X-Refers-To-Page"), h["WARC-Target-URI"], h["WARC-Date"], body if payloads else None))
-                    size += len(body) if payloads else 0
-                    if len(rows) >= 5000 or size > 16 << 20:
-                        yield _frame(rows)
-                        rows, size = [], 0
-                if rows:
-                    yield _frame(rows)
-
-    return files.select("file").mapInPandas(run, READ)
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[x.split()[0] for x in READ.split(", ")])
-    for c in ("page_id", "refers_to"):
-        out[c] = pd.array([None if v is None else int(v) for v in out[c]], dtype="Int64")
-    return out
+    return files.select("file").mapInArrow(run, READ)
 
 
 def archive(pages: DataFrame, folder: str | None = None, payloads: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -265,11 +309,7 @@ def archive(pages: DataFrame, folder: str | None = None, payloads: bool = True)
     Null html is an empty payload, a null URL an empty target. Null ids stay null. Repeated rows have
     a record each. An empty table gives an empty index. Other columns are ignored.
     """
-    spark = pages.sparkSession
-    folder = folder or f"{shared_dir(spark)}/loomtext-warc-{uuid.uuid4().hex}"
+    folder = folder or scratch(pages.sparkSession, "warc")
     runs = stored(write_archives(mark_revisits(pages), folder), "runs")
     history = stored(merge_index(runs), "history")
-    # A table of its own and an exact number of partitions: a task for each archive, however short the names are.
-    files = stored(history.select("file").distinct(), "files")
-    files = files.repartition(max(1, files.count()))
-    return history, read_archives(files, payloads)
+    return history, read_history(history, payloads)
