@@ -1,10 +1,15 @@
-"""Byte-level BPE encoding and decoding by merge replay over a block's vocabulary.
+"""Byte-level BPE encoding and decoding by merge replay.
 
-The texts of a block of documents (``BLOCK_CHARS`` characters) become positions in one vocabulary of
-distinct words. An inverted index maps each mergeable pair, named by the rank of what it merges to,
-to its word positions; merges are applied in rank order to all their positions at once, and only
+An inverted index maps each mergeable pair, named by the rank of what it merges to, to its positions in a vocabulary of
+distinct words; merges are applied in rank order to all their positions at once, and only
 the neighbours they touch are looked up and indexed again. Each occurrence then takes its word's ids.
-Ids of a word depend on nothing but its bytes, so blocks need no exchange: there is no shuffle.
+
+``encode_corpus`` has one vocabulary for the corpus: blocks of documents (``BLOCK_CHARS`` characters) are numbered by their own
+distinct words; the words are dealt by word, so each is replayed in one task, in portions of ``REPLAY_BYTES``; their ids go back to the
+blocks, ahead of the blocks' documents. The most frequent word is a row for each block.
+
+``encode`` replays the vocabulary of each block by itself. Ids of a word depend on nothing but its bytes, so the result is the same and
+nothing is dealt. The queries use it: the README has the figures of both.
 
 The rank table has a fixed size (some 50,000 entries) and is broadcast.
 """
@@ -25,9 +30,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtext.llm.common import bound_batches, free_name
+from loomtext.llm.common import bound_batches, free_name, stored
 
 BLOCK_CHARS = 8 << 20
+#: Bytes of distinct words that a task replays together.
+REPLAY_BYTES = 4 << 20
 NONE = np.int32(2**31 - 1)
 
 
@@ -56,14 +63,31 @@ class Merges:
 
     def word(self, word: bytes) -> list[int]:
         """One word by the definition: merge the leftmost pair of the lowest rank until none is left."""
-        parts = [bytes([c]) for c in word]
-        while len(parts) > 1:
-            found = [(r, i) for i in range(len(parts) - 1) if (r := self.ranks.get(parts[i] + parts[i + 1])) is not None]
-            if not found:
-                break
-            i = min(found)[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        n = len(word)
+        parts: list[bytes | None] = [bytes([c]) for c in word]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[int, int, int]] = []
+
+        def enter(i: int, j: int) -> None:
+            if (r := self.ranks.get(parts[i] + parts[j])) is not None:
+                heapq.heappush(heap, (r, i, len(parts[i]) + len(parts[j])))
+
+        for i in range(n - 1):
+            enter(i, i + 1)
+        while heap:
+            r, i, size = heapq.heappop(heap)
+            j = after[i]
+            # Parts only grow, so a pair of this length at this place is the one that was entered.
+            if parts[i] is None or j >= n or len(parts[i]) + len(parts[j]) != size:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], None
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                enter(i, k)
+            if before[i] >= 0:
+                enter(before[i], i)
+        return [self.ranks[p] for p in parts if p is not None]
 
 
 def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
@@ -183,7 +207,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], column: int, merges: Merges, pat
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", block: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` with ``ids`` (array of int) appended under a free name; text isn't changed.
+    """``docs`` with ``ids`` (array of int) appended under a free name; text isn't changed. Vocabularies are those of blocks of documents.
 
     Every match of ``pattern`` is encoded by itself, special tokens are plain text. Null and empty
     texts have no ids. Repeated rows encode alike; an empty table gives no rows. Characters outside
@@ -202,6 +226,130 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     return docs.mapInArrow(run, out)
 
 
+def _numbered(batches: Iterator[pa.RecordBatch], column: int, keep: list[int], pattern: str, block: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of each block: its documents with the numbers of their words, then one row with the words in order of their numbers."""
+    from pyspark import TaskContext
+
+    find = regex.compile(pattern).findall
+    t = TaskContext.get().partitionId() << 32
+    vocabulary: defaultdict[str, int] = defaultdict(count().__next__)
+    size, types = 0, []
+
+    def words() -> pa.RecordBatch:
+        lists = pa.array([list(vocabulary)], pa.list_(pa.string()))
+        return pa.RecordBatch.from_arrays([pa.array([t], pa.int64()), lists, *(pa.nulls(1, x) for x in types), pa.nulls(1, pa.list_(pa.int32()))], names=names)
+
+    for batch in batches:
+        types = [batch.schema.types[i] for i in keep]
+        for i in range(0, batch.num_rows, 1000):
+            piece = batch.slice(i, 1000)
+            found = []
+            for text in piece.column(column).to_pylist():
+                found.append(np.array([vocabulary[w] for w in find(text)] if text else [], np.int32))
+                size += len(text or "")
+            n = len(found)
+            numbers = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in found])], pa.int32()), pa.array(np.concatenate(found)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, t)), pa.nulls(n, pa.list_(pa.string())), *(piece.column(k) for k in keep), numbers], names=names)
+            if size >= block:
+                yield words()
+                vocabulary, size, t = defaultdict(count().__next__), 0, t + 1
+    if vocabulary:
+        yield words()
+
+
+def _replayed(batches: Iterator[pa.RecordBatch], merges: Merges) -> Iterator[pa.RecordBatch]:
+    """``(word, t, k)`` sorted by word to ``t, k, ids``."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(held).combine_chunks()
+        coded = whole.column(0).chunk(0).dictionary_encode()
+        flat, offsets = replay([w.encode("utf-8") for w in coded.dictionary.to_pylist()], merges)
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+        for i in range(0, len(whole), 1 << 16):
+            at = coded.indices.slice(i, 1 << 16)
+            yield pa.RecordBatch.from_arrays([whole.column(1).chunk(0).slice(i, 1 << 16), whole.column(2).chunk(0).slice(i, 1 << 16), lists.take(at)], names=["t", "k", "ids"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.column(0).nbytes
+        if size >= REPLAY_BYTES:
+            yield from flush()
+            held, size = [], 0
+    if held:
+        yield from flush()
+
+
+def _assembled(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """``(t, k, ids, columns of the documents, numbers)``, each block's words in order before its documents, to the documents with ids."""
+    block, parts, table = None, [], None
+    for b in batches:
+        t, word = b.column(0).to_numpy(), b.column(1).is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((t[1:] != t[:-1]) | (word[1:] != word[:-1])) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(t)]):
+            if lo == hi:
+                continue
+            piece = b.slice(lo, hi - lo)
+            if t[lo] != block:
+                block, parts, table = t[lo], [], None
+            if word[lo]:
+                parts.append(piece.column(2))
+                continue
+            if table is None:
+                ids = pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+                sizes = ids.value_lengths().to_numpy()
+                table, parts = (ids.flatten().to_numpy(), np.r_[0, np.cumsum(sizes)][:-1], sizes), []
+            flat, starts, sizes = table
+            numbers = piece.column(piece.num_columns - 1)
+            at, per_doc = numbers.flatten().to_numpy(), numbers.value_lengths().to_numpy()
+            n = sizes[at]
+            ends = np.cumsum(n)
+            ids = flat[np.repeat(starts[at] - (ends - n), n) + np.arange(int(n.sum()))]
+            bounds = np.r_[0, ends][np.r_[0, np.cumsum(per_doc)]]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*piece.columns[3:-1], lists], names=names)
+
+
+def encode_corpus(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", block: int = BLOCK_CHARS, keep_text: bool = True) -> DataFrame:
+    """What ``encode`` gives, by one vocabulary of the whole corpus; ``keep_text`` false leaves the text out.
+
+    Intermediate data: the numbers of the texts' words twice, and each block's distinct words and their ids once.
+    """
+    spark, name = docs.sparkSession, free_name(docs, ids)
+    bound_batches(spark)
+    shared = spark.sparkContext.broadcast(ranks)
+    at = docs.columns.index(text)
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
+    fields = [docs.schema.fields[i] for i in kept]
+    nullable = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)]
+    numbers = T.StructField("numbers", T.ArrayType(T.IntegerType()))
+    numbered = T.StructType([T.StructField("t", T.LongType()), T.StructField("words", T.ArrayType(T.StringType())), *nullable, numbers])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _numbered(batches, at, kept, pattern, block, numbered.names)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _replayed(batches, Merges(shared.value))
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _assembled(batches, [*(f.name for f in fields), name])
+
+    cut = stored(docs.mapInArrow(number, numbered), "words")
+    words = cut.where("words IS NOT NULL").select("t", F.posexplode("words").alias("k", "word")).select("word", "t", "k")
+    # A partition for each block: texts, or their numbers, are what is dealt.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), cut.where("words IS NOT NULL").count())
+    coded = words.repartition(n, "word").sortWithinPartitions("word").mapInArrow(code, "t long, k int, ids array<int>")
+    none = lambda f: F.lit(None).cast(f.dataType).alias(f.name)
+    both = coded.select("t", "k", "ids", *map(none, [*nullable, numbers])).unionByName(
+        cut.where("words IS NULL").select("t", F.lit(None).cast("int").alias("k"), F.lit(None).cast("array<int>").alias("ids"), *(f.name for f in nullable), "numbers")
+    )
+    dealt = both.repartition(n, "t").sortWithinPartitions("t", F.col("k").asc_nulls_last())
+    return dealt.mapInArrow(assemble, T.StructType([*fields, T.StructField(name, T.ArrayType(T.IntegerType(), False), True)]))
+
+
 def decode(spark: SparkSession, ids: Column, ranks: dict[bytes, int]) -> Column:
     """The bytes of an array of ids; null for null."""
     shared = spark.sparkContext.broadcast(ranks)

@@ -375,6 +375,15 @@ def test_bpe(docs, rows):
     assert small.columns[-1] == "_ids" and small.where("ids <> 'mine'").count() == 0
 
 
+@pytest.mark.parametrize("encode", [bpe.encode, bpe.encode_corpus])
+def test_bpe_in_small_blocks_and_portions(docs, rows, monkeypatch, encode):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    exact = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "REPLAY_BYTES", 50)
+    got = encode(docs, ranks, public_tokenizers.PATTERN, block=60)
+    _same([(*r[:5], tuple(r.ids)) for r in got.collect()], [(*r, tuple(exact.encode_ordinary(r[1] or ""))) for r in rows])
+
+
 def test_replay_on_random_words():
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     exact = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
