@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +66,25 @@ def discard(spark: SparkSession, *paths: str) -> None:
         system.delete(path, True)
 
 
+def arrow_fs(where: str) -> tuple[fs.FileSystem, str]:
+    """pyarrow's file system for a URI and the path in it; an error where pyarrow knows none."""
+    if where.startswith("file:/") and not where.startswith("file://"):
+        where = f"file://{where.removeprefix('file:')}"
+    return fs.FileSystem.from_uri(f"s3{where.removeprefix('s3a')}" if where.startswith("s3a://") else where)
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, what a write has shuffled is deleted as soon as the write is done. For writes only: nothing else reads their shuffles."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def bound_batches(spark: SparkSession, size: str = "8m") -> None:
     """Have texts cross to Python in Arrow batches of ``size`` bytes; sets the session's
     ``spark.sql.execution.arrow.maxBytesPerBatch``, whose default of 64 MB a worker can't afford several times over."""
@@ -77,7 +99,8 @@ def stored(df: DataFrame, name: str = "cut", paths: list[str] | None = None) ->
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with freeing_shuffles(spark):
+        df.write.parquet(path)
     if paths is not None:
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import lookup, scratch, stored
+from loomtext.llm.common import arrow_fs, lookup, scratch, stored
 
 #: Payloads under this many bytes never become revisits.
 MIN_REVISIT = 1000
@@ -144,12 +144,6 @@ def mark_revisits(pages: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
     return joined.select("page_id", "url", "payload", "payload_digest", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
-def _open(where: str) -> tuple[fs.FileSystem, str]:
-    if where.startswith("file:/") and not where.startswith("file://"):
-        where = f"file://{where.removeprefix('file:')}"
-    return fs.FileSystem.from_uri(f"s3{where.removeprefix('s3a')}" if where.startswith("s3a://") else where)
-
-
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write ``mark_revisits`` rows under ``folder`` (a URI); gives the index lines, a sorted run for each archive."""
 
@@ -158,7 +152,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
         task = TaskContext.get()
         part = task.partitionId()
-        system, path = _open(folder)
+        system, path = arrow_fs(folder)
         system.create_dir(path, recursive=True)
         name = f"part-{part:06d}.warc.gz"
         attempt = f"{path}/.part-{part:06d}-{task.taskAttemptId()}"
@@ -247,7 +241,7 @@ def read_history(history: DataFrame, payloads: bool = True) -> DataFrame:
                 if file != name:
                     if source is not None:
                         source.close()
-                    system, path = _open(file)
+                    system, path = arrow_fs(file)
                     name, source, data = file, system.open_input_file(path), b""
                 if not at <= offset <= offset + length <= at + len(data):
                     source.seek(offset)
@@ -291,7 +285,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name in (x for b in batches for x in b.column(0).to_pylist()):
             rows, size = [], 0
-            for heads, body in _records(*_open(name)):
+            for heads, body in _records(*arrow_fs(name)):
                 row = _row(heads, body, name)
                 rows.append(row if payloads else (*row[:7], None))
                 size += len(body) if payloads else 0
