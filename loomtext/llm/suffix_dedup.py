@@ -12,18 +12,19 @@ A byte goes if a 50-byte string that covers it also starts in a document with a
    all suffixes again: it refines the interleave of the shards by one symbol in each of 50 rounds, and
    the round that parts two neighbours is their common prefix. What 50 rounds don't part
    is a repeated interval; its smallest doc_id settles each of its windows.
+   A gram that occurs over ``HOT`` times may stand in as many contexts; its segments are cut into their windows, which are dealt by
+   their own bytes, so no task has more of an anchor than that.
 3. Each block of documents reads the verdicts on its segments and removes bytes.
 
 Blocks are written once, so their numbers hold whatever becomes of a task. Verdicts are read from the
-shared folder through pyarrow's file systems.
+shared folder through pyarrow's file systems; each block has a file there even if it has no verdict, so a missing one is an error.
+They are named by two 64-bit hashes, of the segment and of its anchor.
 """
 
 from __future__ import annotations
 
-import gc
-import time
-import uuid
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -34,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import shared_dir
+from loomtext.llm.common import arrow_fs, freeing_shuffles, scratch
 
 LENGTH = 50
 GRAM = 26
@@ -46,7 +47,13 @@ SHARD_BYTES = 1 << 17
 MERGE_BYTES = 2 << 20
 #: Text bytes whose anchors a task counts together, and whose segments it gathers together.
 GATHER_BYTES = 48 << 20
+#: Occurrences of an anchor above which its windows are dealt one by one.
+HOT = 20_000
 LAST = np.iinfo(np.int64).max
+#: Parts of the anchors for each task that takes them, so that tasks get about as much.
+FINE = 16
+#: Marks rows that are there for a block to have a file.
+BLANK = -1
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
 
@@ -86,27 +93,45 @@ def _runs(text: bytes, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[anchor[first]], first + at, last + at
 
 
-def sorted_suffixes(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of the segments, each closed by a separator of its own that sorts first, and their transform.
+def sorted_suffixes(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix array of the segments, each closed by a separator of its own that sorts first; their transform, and the symbols before its symbols.
 
     Symbols are byte + 1, separators 0.
     """
-    text = np.concatenate([np.r_[np.frombuffer(s, np.uint8).astype(np.uint16) + 1, np.uint16(0)] for s in segments])
-    n, m = len(text), len(segments)
-    rank = text.astype(np.int64) + m
-    rank[text == 0] = np.arange(m)
-    k, longest = 1, max(map(len, segments)) + 1
+    sizes = np.fromiter(map(len, segments), np.int64, len(segments)) + 1
+    text = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8).astype(np.int64) + 1
+    ends = np.cumsum(sizes)
+    text[ends - 1] = 0
+    n, longest = len(text), int(sizes.max())
+    # Symbols beyond a segment's end count as 0; suffixes that are equal up to their separators keep the order of their segments.
+    left = np.repeat(ends, sizes) - np.arange(n)
+    rank = np.zeros(n, np.int64)
+    k = max(1, (63 - n.bit_length()) // 9)
+    for i in range(min(k, n)):
+        rank <<= 9
+        rank[: n - i] |= np.where(left[: n - i] > i, text[i:], 0)
+    bits = 9 * k
     while True:
+        order, sorted_rank = _sorted(rank, bits)
+        new = np.r_[0, np.cumsum(sorted_rank[1:] != sorted_rank[:-1])]
+        if new[-1] == n - 1 or k >= longest:
+            return order, text[order - 1].astype(np.uint16), text[order - 2].astype(np.uint16)
+        rank[order] = new + 1
         beyond = np.zeros(n, np.int64)
-        beyond[:-k] = rank[k:] + 1
-        key = rank * (n + m + 300) + beyond
-        order = np.argsort(key, kind="stable")
-        new = np.r_[0, np.cumsum(key[order][1:] != key[order][:-1])]
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+        beyond[: n - k] = np.where(left[: n - k] > k, rank[k:], 0)
+        bits = 2 * n.bit_length()
+        rank = rank << n.bit_length() | beyond
         k *= 2
-        if new[-1] == n - 1 or k >= longest:
-            return order, text[order - 1]
+
+
+def _sorted(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of keys below 2 ** bits, and the keys in it. Sorting them with their places is faster than sorting places."""
+    b = len(keys).bit_length()
+    if bits + b > 63:
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    both = np.sort(keys << b | np.arange(len(keys)))
+    return both & ((1 << b) - 1), both >> b
 
 
 def merge_shards(transforms: list[np.ndarray], rounds: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +168,45 @@ def merge_shards(transforms: list[np.ndarray], rounds: int = LENGTH) -> tuple[np
     return z, prefix
 
 
+def merge_pairs(transforms: list[np.ndarray], base: int, rounds: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """``merge_shards`` by two symbols a round; common prefixes are rounded down to even numbers.
+
+    A transform's entries are the pair of symbols before a suffix, the farther one times ``base``.
+    """
+    sizes = [len(t) for t in transforms]
+    flat = np.concatenate(transforms)
+    z = np.repeat(np.arange(len(sizes)), sizes).astype(np.uint8 if len(sizes) < 256 else np.uint16)
+    n = len(z)
+    prefix = np.full(n, rounds, np.int16)
+    prefix[0] = 0
+    block = np.zeros(n, np.int32)
+    parted = np.zeros(n, bool)
+    parted[0] = True
+    single = np.arange(base * base) % base == 0
+    for h in range(0, rounds, 2):
+        pairs = np.empty(n, flat.dtype)
+        pairs[np.argsort(z, kind="stable")] = flat
+        deal = np.argsort(pairs, kind="stable")
+        dealt = pairs[deal]
+        # Separators keep the order of shards, as the first symbol of a pair or the second.
+        ends = int(np.searchsorted(dealt, base))
+        deal[:ends] = deal[:ends][np.argsort(z[deal[:ends]], kind="stable")]
+        last = ends + np.flatnonzero(single[dealt[ends:]])
+        some = deal[last]
+        deal[last] = some[np.lexsort((z[some], dealt[last]))]
+        z, block = z[deal], block[deal]
+        now = np.r_[True, (dealt[1:] != dealt[:-1]) | (block[1:] != block[:-1])]
+        now[: ends + 1] = True
+        now[last] = True
+        now[last[last < n - 1] + 1] = True
+        prefix[now & ~parted] = h
+        parted = now
+        block = np.cumsum(now, dtype=np.int32)
+        if now.all():
+            break
+    return z, prefix
+
+
 def window_minima(segments: list[bytes], keys: np.ndarray) -> list[np.ndarray]:
     """For each 50-byte window of each segment, the smallest key of any segment with that window."""
     shards, size = [[]], 0
@@ -155,17 +219,22 @@ def window_minima(segments: list[bytes], keys: np.ndarray) -> list[np.ndarray]:
     lengths = np.fromiter(map(len, segments), np.int64, len(segments))
     owner, offset, transforms = [], [], []
     for ids in shards:
-        order, transform = sorted_suffixes([segments[i] for i in ids])
+        order, one, two = sorted_suffixes([segments[i] for i in ids])
         ends = np.cumsum(lengths[ids] + 1)
         which = np.searchsorted(ends, order, side="right")
         owner.append(np.asarray(ids)[which])
         offset.append(order - (ends - lengths[ids] - 1)[which])
-        transforms.append(transform)
-    # Few alphabets use all byte values; a symbol of one byte is dealt in one pass.
-    used = np.unique(np.concatenate([np.unique(t) for t in transforms]))
-    if len(used) <= 256:
-        transforms = [np.searchsorted(used, t).astype(np.uint8) for t in transforms]
-    z, prefix = merge_shards(transforms)
+        transforms.append((one, two))
+    # Few alphabets use all byte values; pairs of others fit 16 bits.
+    seen = np.zeros(257, bool)
+    for one, _ in transforms:
+        seen[one] = True
+    base = int(seen.sum())
+    if base <= 256:
+        number = (np.cumsum(seen) - 1).astype(np.uint16)
+        z, prefix = merge_pairs([number[two] * np.uint16(base) + number[one] for one, two in transforms], base)
+    else:
+        z, prefix = merge_shards([one for one, _ in transforms])
     place = np.argsort(z, kind="stable")
     who, where = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
     who[place], where[place] = np.concatenate(owner), np.concatenate(offset)
@@ -208,7 +277,11 @@ def shared_windows(segments: list[bytes]) -> np.ndarray:
 
 
 def _settled(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """All rows of some anchors (h, t, least, most, seg) to verdicts: windows first..last of a segment of block t also start in ``doc``."""
+    """All rows of some anchors (h, t, least, most, seg) to verdicts: windows first..last of a segment of block t also start in ``doc``.
+
+    An anchor's only distinct segment, and one whose windows' hashes no other segment has, are intervals of their own: differing hashes
+    prove that windows differ. Where distinct segments may share a window, the merge decides, never a hash.
+    """
     code, segments = pd.factorize(group["seg"].to_numpy())
     least = np.full(len(segments), LAST)
     np.minimum.at(least, code, group["least"].to_numpy())
@@ -247,10 +320,15 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: list[pd.DataFrame] = []
     size = 0
     for b in batches:
+        length = b["seg"].map(len)
+        blank = length == 0
+        if blank.any():  # rows that stand for blocks
+            yield pd.DataFrame({"t": b["t"][blank], "h": b["h"][blank], "segment": 0, "first": BLANK, "last": BLANK, "doc": LAST}).astype({"first": np.int32, "last": np.int32})
+            b = b[~blank]
         if not len(b):
             continue
         held.append(b)
-        size += int(b["seg"].map(len).sum())
+        size += int(length.sum())
         if size >= MERGE_BYTES:
             x = pd.concat(held, ignore_index=True)
             open_ = x["h"] == x["h"].iloc[-1]
@@ -262,24 +340,29 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _settled(pd.concat(held, ignore_index=True))
 
 
-def _part(folder: str, t: int, columns: list[str]) -> pa.Table | None:
-    """What was written for a block of documents."""
-    system, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder.removeprefix('file:')}")
-    where = fs.FileSelector(f"{path}/t={t}", allow_not_found=True)
-    files = [f.path for f in system.get_file_info(where) if f.path.endswith(".parquet")]
-    return pa.concat_tables([pq.read_table(f, filesystem=system, columns=columns, partitioning=None) for f in files]) if files else None
+def _part(folder: str, t: int, columns: list[str]) -> pa.Table:
+    """What was written for a block of documents; an error if nothing was."""
+    system, path = arrow_fs(folder)
+    files = [f.path for f in system.get_file_info(fs.FileSelector(f"{path}/t={t}")) if f.path.endswith(".parquet")]
+    return pa.concat_tables([pq.read_table(f, filesystem=system, columns=columns, partitioning=None) for f in files])
 
 
 def _by_block(df: DataFrame, folder: str) -> None:
-    df.repartition("t").sortWithinPartitions("t").write.partitionBy("t").option("compression", "zstd").parquet(folder)
+    with freeing_shuffles(df.sparkSession):
+        df.repartition("t").sortWithinPartitions("t").write.partitionBy("t").option("compression", "zstd").parquet(folder)
+
+
+def hash_of(t: int) -> int:
+    return xxhash.xxh64_intdigest(t.to_bytes(4, "little"))
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def _release(spark) -> None:
-    """Let Spark drop the shuffle files of finished phases: it does so when their plans are collected as garbage."""
-    for _ in range(3):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
+def _window_key(window: bytes) -> int:
+    """What a window of a hot anchor is dealt by."""
+    return _signed(xxhash.xxh64_intdigest(window, 1))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -289,8 +372,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     as larger than any other. Matches are judged on the input and never cross documents. Texts
     under 50 bytes stay whole. Other columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    base = f"{shared_dir(spark)}/loomtext-repeats-{uuid.uuid4().hex}"
+    spark, most = docs.sparkSession, HOT
+    base = scratch(spark, "repeats")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -303,50 +386,77 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     numbered.mapInArrow(number, "t int, doc_id long, text binary").write.option("compression", "zstd").parquet(f"{base}/blocks")
     blocks = spark.read.schema("t int, doc_id long, text binary").parquet(f"{base}/blocks")
 
+    # A task of this exchange holds its anchors as arrays of 16 bytes each: one for about 13 bytes of text.
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + int((blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (32 << 20)))
+
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each block and part that an anchor's hash falls in: its anchors there, and how often they stand (shifted) and whether in several documents."""
         got, size, block = [], 0, None
 
+        def rows(part: list[int], h: list[bytes], mark: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([block] * len(part), pa.int32()), pa.array(h, pa.binary()), pa.array(mark, pa.binary())], names=["part", "t", "h", "mark"])
+
         def flush() -> Iterator[pa.RecordBatch]:
-            h, n = np.unique(np.concatenate(got), return_counts=True)
-            for i in range(0, len(h), 1 << 17):
-                part = h[i : i + (1 << 17)].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), block, np.int32)), pa.array(n[i : i + (1 << 17)] > 1)], names=["h", "t", "twice"])
+            h, n = (np.concatenate(x) for x in zip(*got))
+            if not len(h):
+                return
+            order = np.argsort(h)
+            h, n = h[order], n[order]
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            docs, times = np.diff(np.r_[starts, len(h)]), np.add.reduceat(n, starts)
+            h, mark = h[starts], (np.minimum(times, 1 << 29) << 1 | (docs > 1)).astype(np.int32)
+            part = (h % np.uint64(FINE * n_parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part, h, mark = part[order], h[order], mark[order]
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist()
+            ends = [*cuts[1:], len(h)]
+            for i in range(0, len(cuts), 64):
+                pairs = list(zip(cuts[i : i + 64], ends[i : i + 64]))
+                yield rows([int(part[a]) for a, _ in pairs], [h[a:b].tobytes() for a, b in pairs], [mark[a:b].tobytes() for a, b in pairs])
 
         for b in batches:
             for t, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
                 if got and (t != block or size >= GATHER_BYTES):
                     yield from flush()
                     got, size = [], 0
-                block = t
+                if t != block:
+                    block = t
+                    yield rows([t % (FINE * n_parts)], [b""], [b""])  # so that every block has a row
                 size += len(text)
-                got.append(np.unique(runs(text)[0]))  # once a document
+                got.append(np.unique(runs(text)[0], return_counts=True))  # once a document
         if got:
             yield from flush()
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)) for b in batches if b.num_rows]
+        """Of each block that comes, the anchors that stand in several documents, and which are hot."""
+        parts = [x for b in batches for x in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist())]
         if not parts:
             return
-        h, t, twice = (np.concatenate(x) for x in zip(*parts))
+        h, mark = np.frombuffer(b"".join(x[1] for x in parts), np.int64), np.frombuffer(b"".join(x[2] for x in parts), np.int32)
+        t = np.repeat(np.array([x[0] for x in parts], np.int32), [len(x[1]) // 8 for x in parts])
+        every = sorted({x[0] for x in parts})
         del parts
         order = np.argsort(h)
-        h, t, twice = h[order], t[order], twice[order]
-        starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        h, t, mark = h[order], t[order], mark[order]
+        starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
         n = np.diff(np.r_[starts, len(h)])
-        keep = np.repeat((n > 1) | np.logical_or.reduceat(twice, starts), n)
-        h, t = h[keep], t[keep]
-        for i in range(0, len(h), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(h[i : i + (1 << 17)]), pa.array(t[i : i + (1 << 17)])], names=["h", "t"])
-
-    # A task of this exchange holds its rows as arrays of 13 bytes a row: a row for about 13 bytes of text.
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + int((blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (32 << 20)))
-    seen = blocks.mapInArrow(anchors, "h long, t int, twice boolean").repartition(n_parts, "h").mapInArrow(repeated, "h long, t int")
+        if len(h):
+            keep = np.repeat((n > 1) | np.logical_or.reduceat(mark & 1 > 0, starts), n)
+            hot = np.repeat(np.add.reduceat(mark >> 1, starts, dtype=np.int64) > most, n)[keep]
+            h, t = h[keep], t[keep]
+        else:
+            hot = np.zeros(0, bool)
+        order = np.argsort(t, kind="stable")
+        h, t, hot = h[order], t[order], hot[order]
+        for block in every:
+            at = slice(*np.searchsorted(t, [block, block + 1]))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([h[at].tobytes()], pa.binary()), pa.array([hot[at].tobytes()], pa.binary())], names=["t", "h", "hot"])
+
+    seen = blocks.mapInArrow(anchors, "part int, t int, h binary, mark binary").repartition(n_parts, "part").mapInArrow(repeated, "t int, h binary, hot binary")
     _by_block(seen, f"{base}/anchors")
-    del seen
-    _release(spark)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        block, wanted, got, size = None, None, {}, 0
+        block, wanted, hot, got, size = None, None, None, {}, 0
 
         def flush() -> Iterator[pd.DataFrame]:
             rows = list(got.items())
@@ -364,8 +474,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                         yield from flush()
                         got, size = {}, 0
                     if t != block:
-                        block, table = t, _part(f"{base}/anchors", t, ["h"])
-                        wanted = np.zeros(0, np.int64) if table is None else np.sort(table["h"].to_numpy())
+                        block, (wanted, hot) = t, _anchors(base, t)
+                        yield pa.RecordBatch.from_arrays([pa.array([_signed(hash_of(t))]), pa.array([t], pa.int32()), pa.array([LAST]), pa.array([LAST]), pa.array([b""], pa.binary())], names=["h", "t", "least", "most", "seg"])
                 size += len(text)
                 if not len(wanted):
                     continue
@@ -374,34 +484,37 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
                 hit = np.flatnonzero(wanted[at] == h)
                 key = LAST if doc is None else doc
-                for g, i, j in zip(h[hit].tolist(), first[hit].tolist(), (last[hit] + LENGTH).tolist()):
-                    s = text[i:j]
-                    old = got.get(s)
-                    if old is None:
-                        got[s] = (g, key, key)
-                    elif key < old[1] or key > old[2]:
-                        got[s] = (g, min(key, old[1]), max(key, old[2]))
+                for g, split, i, j in zip(h[hit].tolist(), hot[at[hit]].tolist(), first[hit].tolist(), (last[hit] + LENGTH).tolist()):
+                    for s in [text[k : k + LENGTH] for k in range(i, j - LENGTH + 1)] if split else [text[i:j]]:
+                        old = got.get(s)
+                        if old is None:
+                            got[s] = (_window_key(s) if split else g, key, key)
+                        elif key < old[1] or key > old[2]:
+                            got[s] = (old[0], min(key, old[1]), max(key, old[2]))
         if got:
             yield from flush()
 
     dealt = blocks.mapInArrow(segments, "h long, t int, least long, most long, seg binary").repartition(n_parts, "h").sortWithinPartitions("h")
     _by_block(dealt.mapInPandas(_settle, "t int, h long, segment long, first int, last int, doc long"), f"{base}/verdicts")
-    del dealt
-    _release(spark)
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        block, wanted, verdicts = None, None, None
+        block, wanted, hot, verdicts = None, None, None, None
         for b in batches:
             rows, size = [], 0
             for t, doc, text in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if t != block:
                     block, table = t, _part(f"{base}/verdicts", t, ["h", "segment", "first", "last", "doc"])
-                    wanted, verdicts = np.zeros(0, np.int64), {}
-                    if table is not None:
-                        wanted = np.unique(table["h"].to_numpy())
-                        for s, *v in zip(*(table[c].to_pylist() for c in ("segment", "first", "last", "doc"))):
-                            verdicts.setdefault(s, []).append(v)
-                rows.append((doc, *_cut(text, LAST if doc is None else doc, wanted, verdicts)))
+                    anchors, split = _anchors(base, t)
+                    hot = anchors[split]
+                    wanted, verdicts = np.unique(np.r_[table["h"].to_numpy(), hot]), {}
+                    # By the unsigned hash of the segment; most have one verdict.
+                    names = table["segment"].to_numpy().view(np.uint64).tolist()
+                    for s, v in zip(names, zip(*(table[c].to_numpy().tolist() for c in ("h", "first", "last", "doc")))):
+                        if s in verdicts:
+                            verdicts[s] += (v,)
+                        else:
+                            verdicts[s] = (v,)
+                rows.append((doc, *_cut(text, LAST if doc is None else doc, wanted, hot, verdicts)))
                 size += len(text)
                 if size > 8 << 20:
                     yield _result(rows)
@@ -412,16 +525,39 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return blocks.mapInArrow(cleaned, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
-def _cut(text: bytes, key: int, wanted: np.ndarray, verdicts: dict) -> tuple[bytes, int, int, int]:
+def _anchors(base: str, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's anchors that repeat, in order, and whether each is hot."""
+    table = _part(f"{base}/anchors", t, ["h", "hot"])
+    h, hot = np.frombuffer(b"".join(table["h"].to_pylist()), np.int64), np.frombuffer(b"".join(table["hot"].to_pylist()), bool)
+    order = np.argsort(h)
+    return h[order], hot[order]
+
+
+def _cut(text: bytes, key: int, wanted: np.ndarray, hot: np.ndarray, verdicts: dict) -> tuple[bytes, int, int, int]:
     """The bytes that stay, the text's size, the bytes that go, and the number of their runs."""
-    found: set[tuple[int, int]] = set()
+    found: list[list[int]] = []
+    begin = end = -1  # of the last one found
     if len(wanted) and len(text) >= LENGTH:
         h, first, last = runs(text)
         h = h.view(np.int64)
         hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h)
-        for i, j in zip(first[hit].tolist(), (last[hit] + LENGTH).tolist()):
-            name = xxhash.xxh64_intdigest(text[i:j])
-            found.update((i + a, i + b + LENGTH) for a, b, doc in verdicts.get(name - (1 << 64) if name >> 63 else name, ()) if doc < key)
+        split = np.isin(h[hit], hot).tolist() if len(hot) else repeat(False)
+        get, digest = verdicts.get, xxhash.xxh64_intdigest
+        for g, each, i, j in zip(h[hit].tolist(), split, first[hit].tolist(), (last[hit] + LENGTH).tolist()):
+            for k in range(i, j - LENGTH + 1) if each else (i,):
+                s = text[k : k + LENGTH] if each else text[i:j]
+                said = get(digest(s))
+                if said is not None:
+                    dealt = _window_key(s) if each else g
+                    for h_, a, b, doc in said:
+                        if doc < key and h_ == dealt:
+                            x, y = k + a, k + b + LENGTH
+                            if begin <= x <= end:
+                                if y > end:
+                                    found[-1][1] = end = y
+                            else:
+                                begin, end = x, y
+                                found.append([x, y])
     # A segment that was gathered several times has verdicts in no order.
     spans: list[tuple[int, int]] = []
     for a, b in sorted(found):

@@ -165,14 +165,31 @@ def test_suffix_dedup_with_several_gathers_a_block(spark, monkeypatch):
     _same([tuple(r) for r in suffix_dedup.digests(df).collect()], _repeats_brute(rows))
 
 
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_suffix_dedup_with_hot_anchors(spark, monkeypatch, hot):
+    """A short boilerplate in many contexts: its anchors' windows are dealt one by one."""
+    rng = random.Random(7)
+    piece = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, shared = piece(40), [piece(30) for _ in range(5)]
+    rows = [(i, rng.choice(shared) + line + rng.choice(shared) if rng.random() < 0.4 else piece(50) + line + piece(50)) for i in range(80)] + [(200, line * 5)]
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    _same([tuple(r) for r in suffix_dedup.digests(df).collect()], _repeats_brute(rows))
+
+
+def test_lost_verdicts_are_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        suffix_dedup._part(f"file:{tmp_path}/none", 3, ["h"])
+
+
 def test_cut_takes_verdicts_in_any_order():
     text = bytes(range(60, 130))
     h, first, last = suffix_dedup.runs(text)
     verdicts = {}
-    for i, j in zip(first.tolist(), last.tolist()):
+    for g, i, j in zip(h.view(np.int64).tolist(), first.tolist(), last.tolist()):
         name = xxhash.xxh64_intdigest(text[i : j + suffix_dedup.LENGTH])
-        verdicts[name - (1 << 64) if name >> 63 else name] = [(k, k, 0) for k in reversed(range(j - i + 1))] * 2
-    assert suffix_dedup._cut(text, 5, np.sort(h.view(np.int64)), verdicts) == (b"", 70, 70, 1)
+        verdicts[name] = tuple((g, k, k, 0) for k in reversed(range(j - i + 1))) * 2
+    assert suffix_dedup._cut(text, 5, np.sort(h.view(np.int64)), np.zeros(0, np.int64), verdicts) == (b"", 70, 70, 1)
 
 
 def test_shard_merge_equals_one_sort(monkeypatch):
