@@ -13,6 +13,7 @@ from loomtext.functions.lexicon import LABELS, RATIO_SHENG, RATIO_SWAHILI, SHENG
 from loomtext.operators import clean, joins, packing, parsing, providers, rules, sampling, telemetry
 from loomtext.plans import cascade
 from loomtext.sources import jsonl, sinks
+from loomtext.sources.tables import spread
 from loomtext.streaming import labels as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +31,7 @@ def _query(sql: str | None = None):
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet")
+    return spread(spark.read.parquet(f"{d}/documents.parquet"))
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:
@@ -312,7 +313,7 @@ def open_label_counts(spark, d):
     return joins.label_counts(_docs(spark, d), F.col("lang"))
 
 
-@_query("SELECT CASE WHEN lang IN ('en', 'sw') THEN lang ELSE 'unexpected_label' END AS label, count(*) AS n FROM documents GROUP BY 1 UNION ALL SELECT 'sw', 0")
+@_query("SELECT l.label, count(d.doc_id) AS n FROM (VALUES ('en'), ('sw'), ('unexpected_label')) l(label) LEFT JOIN documents d ON l.label = CASE WHEN d.lang IN ('en', 'sw') THEN d.lang ELSE 'unexpected_label' END GROUP BY 1")
 def closed_label_counts(spark, d):
     return joins.label_counts(_docs(spark, d), F.col("lang"), ("en", "sw"), "unexpected_label")
 
@@ -605,3 +606,184 @@ def stream_distinct_texts(spark, d):
     q = streams.distinct_texts(items).select("h").writeStream.format("parquet").option("path", path).option("checkpointLocation", mark).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema("h string").parquet(path).agg(F.count("*").alias("n"))
+
+
+# responses, gates and files of every shape
+
+
+@_query("SELECT conv_id, turn FROM conversations WHERE turn % 4 <> 3")
+def null_text_gate(spark, d):
+    """An empty text falls through to an empty body and stays; a null body goes."""
+    n = F.col("turn") % 4
+    t = _turns(spark, d).withColumn("t", F.when(n == 0, F.lit("x")).when(n == 1, F.lit(""))).withColumn("b", F.when(n < 3, F.lit("")))
+    return t.where(clean.has_text(F.col("t"), F.col("b"))).select("conv_id", "turn")
+
+
+_PAIR = "struct_pack(i := event_id, l := event_type)"
+
+
+def _answers(spark, d, response) -> DataFrame:
+    """Events with a made-up response of one of six shapes: an array with metadata, one inside prose, two lines, an object without a label, a nested array, nothing."""
+    row = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("language"), F.lit(3).alias("_tokens")))
+    k = F.col("event_id") % 6
+    text = (
+        F.when(k == 0, F.concat(F.lit("["), row, F.lit("]"))).when(k == 1, F.concat(F.lit("Sure: ["), row, F.lit("] ok"))).when(k == 2, F.concat(row, F.lit("\n> "), row, F.lit(" ;\n\n")))
+        .when(k == 3, F.lit('{"id":"a"}')).when(k == 4, F.concat(F.lit("[["), row, F.lit("], ["), row, F.lit("]]"))).otherwise(F.lit("no answer"))
+    )
+    rows = _events(spark, d).select("event_id", response(text).alias("r"))
+    return rows
+
+
+def _told(rows: DataFrame) -> DataFrame:
+    return rows.select("event_id", F.explode("r").alias("x")).select("event_id", F.col("x.id").cast("long").alias("id"), F.col("x.language").alias("language"))
+
+
+@_query("SELECT event_id, event_id AS id, event_type AS language FROM events WHERE event_id % 6 = 0")
+def strict_responses(spark, d):
+    return _told(_answers(spark, d, lambda t: parsing.good_rows(parsing.strict_array(t))))
+
+
+@_query("SELECT event_id, event_id AS id, event_type AS language FROM events WHERE event_id % 6 <= 1")
+def salvaged_responses(spark, d):
+    return _told(_answers(spark, d, lambda t: parsing.good_rows(parsing.salvaged_array(t))))
+
+
+@_query("SELECT event_id, event_id AS id, event_type AS language FROM events, range(2) r(k) WHERE event_id % 6 IN (0, 1, 2, 4) AND (event_id % 6 = 2 OR k = 0)")
+def json_line_responses(spark, d):
+    return _told(_answers(spark, d, parsing.json_lines))
+
+
+@_query("""SELECT event_id, CAST(CASE event_id % 6 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 4 THEN 2 ELSE 0 END AS INTEGER) AS n_results,
+CAST(CASE WHEN event_id % 6 IN (3, 5) THEN 1 ELSE 0 END AS INTEGER) AS invalid FROM events""")
+def lenient_shapes(spark, d):
+    out = _answers(spark, d, parsing.lenient)
+    return out.select("event_id", F.size("r.results").alias("n_results"), F.col("r.invalid").alias("invalid"))
+
+
+@_query("SELECT conv_id, CAST(turn AS VARCHAR) AS id, text FROM conversations")
+def request_roundtrip(spark, d):
+    """The array that a model is sent for each conversation, parsed again."""
+    sent = _turns(spark, d).groupBy("conv_id").agg(parsing.request(F.collect_list(F.struct(F.col("turn").cast("string").alias("id"), "text"))).alias("r"))
+    return sent.select("conv_id", F.explode(F.from_json("r", "array<struct<id:string,text:string>>")).alias("x")).select("conv_id", "x.id", "x.text")
+
+
+_LINES_SQL = f"SELECT row_number() OVER (ORDER BY conv_id, turn) AS line_id, turn, regexp_replace(text, '\\s+', ' ', 'g') AS t FROM conversations"
+
+
+@_query(f"WITH l AS ({_LINES_SQL}) SELECT line_id, {STRIP.format('t')} AS text FROM l WHERE turn % 4 <> 3 AND {STRIP.format('t')} <> ''")
+def detector_lines(spark, d):
+    """Turns as lines of one file, as objects, strings, plain text and numbers; physical line numbers over splits of it."""
+    path = _folder(spark, "lines")
+    t, n = F.regexp_replace("text", r"\s+", " "), F.col("turn") % 4
+    quoted = F.regexp_extract(F.to_json(F.struct(t.alias("x"))), r"(?s)^\{\"x\":(.*)\}$", 1)
+    line = F.when(n == 0, F.to_json(F.struct(F.lit(" ").alias("body"), t.alias("text")))).when(n == 1, quoted).when(n == 2, t).otherwise(F.lit("123"))
+    _turns(spark, d).repartition(1).sortWithinPartitions("conv_id", "turn").select(line.alias("value")).write.text(path)
+    return jsonl.detector_lines(spark, path)
+
+
+@_query("SELECT conv_id || '/' || turn AS id, text FROM conversations WHERE text IS NOT NULL")
+def json_array_files(spark, d):
+    """Whole-file arrays with elements that are no objects."""
+    path = _folder(spark, "arrays")
+    row = F.to_json(F.struct(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("body")))
+    made = _turns(spark, d).groupBy(F.floor(F.col("conv_id") / 20).alias("file")).agg(F.concat(F.lit(" [1, "), F.array_join(F.collect_list(row), ",\n"), F.lit(", null]")).alias("value"))
+    made.write.partitionBy("file").text(path)
+    return jsonl.read_json_array(spark, path)
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def checkpoint_split_on_space(spark, d):
+    """Several ids a line."""
+    path = _folder(spark, "done")
+    ids = _marks(spark, d).groupBy(F.col("doc_id") % 50).agg(F.array_join(F.collect_list(F.col("doc_id").cast("string")), " \t ").alias("value")).select("value")
+    ids.write.text(path)
+    return joins.unprocessed(_items(spark, d), jsonl.read_checkpoint(spark, path, split_on_space=True)).select("id")
+
+
+@_query(f"SELECT conv_id, turn, {STRIP.format(chr(39) + 'x' + chr(39) + ' || text')} AS value FROM (SELECT conv_id, turn, regexp_replace(text, '\\s+', ' ', 'g') AS text FROM conversations)")
+def undecodable_bytes(spark, d):
+    """Replacement marks of undecodable bytes are dropped from lines."""
+    path = _folder(spark, "bytes")
+    t = _turns(spark, d)
+    t.select(F.concat_ws("|", F.col("conv_id").cast("string"), F.col("turn").cast("string"), F.concat(F.lit("x\ufffd"), F.regexp_replace("text", r"\s+", " "), F.lit("\ufffd"))).alias("value")).write.text(path)
+    parts = F.split("value", r"\|", 3)
+    return jsonl.lines(spark, path).select(parts[0].cast("long").alias("conv_id"), parts[1].cast("long").alias("turn"), parts[2].alias("value"))
+
+
+@_query("SELECT CAST(doc_id AS VARCHAR) AS id, lang AS text FROM documents")
+def jsonl_overwrite(spark, d):
+    path = _folder(spark, "jsonl")
+    sinks.write_jsonl(_items(spark, d), path)
+    sinks.write_jsonl(_docs(spark, d).select(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("text")), path, mode="overwrite")
+    return jsonl.read_jsonl(spark, path).select("id", "text")
+
+
+@_query(f"SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 3 = 0 THEN 'English' ELSE max({_LANG_SQL}) END AS language FROM labels GROUP BY doc_id")
+def label_files_repeated_ids(spark, d):
+    """Ids that come in several label files: the last file in name order counts."""
+    path = _folder(spark, "labels")
+    rows = _marks(spark, d).groupBy("doc_id").agg(F.max(_language()).alias("language"))
+    sinks.write_jsonl(rows.select(F.col("doc_id").cast("string").alias("id"), "language"), f"{path}/a")
+    sinks.write_jsonl(rows.where("doc_id % 3 = 0").select(F.col("doc_id").cast("string").alias("id"), F.lit("English").alias("language")), f"{path}/b")
+    return joins.last_wins(jsonl.read_label_files(spark, [f"{path}/a", f"{path}/b"]), "id", "language", "file")
+
+
+@_query("WITH " + _MERGE_SQL + " SELECT id, body, CASE WHEN language IS NULL THEN 'unknown' ELSE lower(replace(language, ' ', '_')) END AS slug FROM merged")
+def split_with_unknown(spark, d):
+    """Merged originals written by slug, those without a label under ``unknown``, and read back with minimal fields."""
+    path = _folder(spark, "split")
+    sinks.write_by_label(_merged(spark, d).withColumnRenamed("slug", "s"), path, F.coalesce("s", F.lit("unknown")), ("id", "body"))
+    return spark.read.schema("id string, body string, slug string").json(path)
+
+
+@_query("SELECT h, doc_id FROM (SELECT md5(text) AS h, min(doc_id) AS doc_id FROM documents GROUP BY 1)")
+def combined_results(spark, d):
+    """The combined file: one result for each text, the first, written and read back."""
+    path = _folder(spark, "combined")
+    sinks.write_jsonl(joins.first_of_hash(_docs(spark, d).select("doc_id", "text"), "doc_id").select("h", "doc_id"), path, mode="overwrite")
+    return spark.read.schema("h string, doc_id long").json(path)
+
+
+@_query(_pack_sql(f"CAST(({{b}}) + CASE WHEN {_GREEDY} THEN 1 ELSE 0 END AS BIGINT) AS batch, CAST(({{b}}) + CASE WHEN {_GREEDY} THEN 1 ELSE 0 END AS BIGINT) AS b, CAST(CASE WHEN {_GREEDY} THEN 0 ELSE ({{s}}) END + {{t}} AS BIGINT) AS s, CAST(CASE WHEN {_GREEDY} THEN 0 ELSE ({{c}}) END + 1 AS BIGINT) AS c").replace("SELECT shard, doc_id, tokens, batch FROM f", "SELECT shard, batch, count(*) AS n_items, CAST(sum(tokens) AS BIGINT) AS batch_tokens FROM f GROUP BY 1, 2"))
+def batch_token_sums(spark, d):
+    return packing.batch_totals(packing.budget_batches(_sized(spark, d), "shard", "doc_id", "tokens"), "shard", "tokens")
+
+
+@_query("""WITH t AS (SELECT user_id, count(*) AS rows, count(*) * 1e6 / (max(epoch_us(ts)) - min(epoch_us(ts))) AS r FROM events GROUP BY 1 HAVING max(epoch_us(ts)) > min(epoch_us(ts)))
+SELECT user_id, round((100000 - rows) / r / 3600, 3) AS eta FROM t""")
+def eta(spark, d):
+    """Hours left for 100,000 rows at each run's rate."""
+    log = _events(spark, d).select("user_id", "ts", F.lit(1).alias("n_rows"), F.lit(1).alias("n_tokens"), F.col("value").alias("latency"))
+    out = telemetry.throughput(log, "user_id").where("rows_per_s IS NOT NULL")
+    return out.select("user_id", F.round(telemetry.eta_hours(F.lit(100000) - F.col("rows"), F.col("rows_per_s")), 3).alias("eta"))
+
+
+@_query("""WITH c AS (SELECT (SELECT count(DISTINCT doc_id) FROM labels) AS done, (SELECT count(*) FROM documents) AS total)
+SELECT near, CASE WHEN total > 0 AND done >= total - near THEN 'restart' ELSE 'resume' END AS action FROM c, (VALUES (0), (1000000)) v(near)""")
+def checkpoint_policy(spark, d):
+    """What a run does about a checkpoint that covers (nearly) the whole input: strict, and with a wide margin."""
+    done, total = _marks(spark, d).select("doc_id").distinct().count(), _docs(spark, d).count()
+    return spark.createDataFrame([(n, cascade.checkpoint_policy(done, total, n)) for n in (0, 1000000)], "near int, action string")
+
+
+_PICKED = f"(SELECT doc_id, text, label FROM ruled WHERE label IS NOT NULL AND CAST('0x' || substr(md5('recheck' || doc_id), 1, 8) AS BIGINT) < CAST(floor(0.5 * 4294967296) AS BIGINT))"
+
+
+@_query(f"WITH {_CACHE_SQL}, " + _rule_sql("SELECT doc_id, text FROM documents").strip() + f""",
+wrong AS (SELECT DISTINCT md5(text) AS h, {HASH_LABEL.format('text')} AS label FROM {_PICKED} p WHERE label <> {HASH_LABEL.format('text')})
+SELECT h, label FROM wrong UNION ALL SELECT h, label FROM cache WHERE h NOT IN (SELECT h FROM wrong)""")
+def drift_recheck(spark, d):
+    """Half of the rule's labels asked again; the cache with the answers that differ."""
+    labelled = rules.lexicon_counts(_items(spark, d)).select("id", "text", rules.lexicon_rule().alias("label"), F.lit("rule").alias("origin")).where("label IS NOT NULL")
+    return cascade.recheck(labelled, _cache(spark, d), providers.HashProvider(), rule_share=0.5)[1]
+
+
+@_query("WITH " + _LID + """,
+sums AS (SELECT doc_id, count(*) AS n, sum(CASE WHEN tag = 'English' THEN 1 ELSE 0 END) AS en, sum(CASE WHEN tag = 'Swahili' THEN 1 ELSE 0 END) AS sw, sum(CASE WHEN tag = 'Sheng' THEN 1 ELSE 0 END) AS sh FROM tags GROUP BY 1),
+r AS (SELECT d.doc_id AS doc_id, coalesce(CAST(en AS DOUBLE) / n, 0.0::DOUBLE) AS en, coalesce(CAST(sw AS DOUBLE) / n, 0.0::DOUBLE) AS sw, coalesce(CAST(sh AS DOUBLE) / n, 0.0::DOUBLE) AS sh FROM documents d LEFT JOIN sums USING (doc_id))
+SELECT doc_id, NOT ((sh > 0.2 AND sh > sw AND sh > en) OR (sw > 0.7 AND sw > sh) OR (en > 0.8 AND sw < 0.1) OR (sw > 0.2 AND sw < 0.6 AND en > 0.2)) AS hinted FROM r""")
+def hinted_items(spark, d):
+    """Texts that the ratio rule leaves to a model go with a hint of their ratios, and only those."""
+    docs = _docs(spark, d)
+    out = cascade.ratio_labels(docs.select(F.col("doc_id").alias("id"), "text"), _word_lid(docs))
+    return out.select(F.col("id").alias("doc_id"), F.coalesce(F.col("hint").rlike(r"^en=\d\.\d\d sw=\d\.\d\d sh=\d\.\d\d$"), F.lit(False)).alias("hinted"))

@@ -14,9 +14,13 @@ TOKEN = "[A-Za-z']+"
 SHORT_SLUGS = {"Swahili": "swahili", "English and Swahili": "mixed", "Sheng": "sheng", "English": "english"}
 
 
+#: Unicode white space and the four ASCII separators, as ``strip`` of most scripting languages takes them.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    """Without Unicode white space at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without Unicode white space at both ends. Linear in the text, however many blanks it has within."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def falsy_coalesce(*values: Column) -> Column:
@@ -42,6 +46,11 @@ def letter_count(text: Column) -> Column:
     return F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
 
 
+def enough_letters(text: Column, least: int = 3) -> Column:
+    """Whether a text has so many letters; looks no further than they are."""
+    return text.rlike(r"(?s)\A" + r"\P{L}*+\p{L}" * least)
+
+
 def prefix(text: Column, chars: int) -> Column:
     return F.substring(text, 1, chars)
 

@@ -38,6 +38,11 @@ def has_id(id_: Column) -> Column:
     return F.coalesce(id_ != "", F.lit(False))
 
 
+def has_text(text: Column, body: Column) -> Column:
+    """Keeps an empty string and drops null only: what falls through an empty text is the body, null or not."""
+    return F.when(text.isNotNull() & (text != ""), True).otherwise(body.isNotNull())
+
+
 def known_or(label: Column, other: str = "Unknown") -> Column:
     return F.when(X.known_label(label), label).otherwise(other)
 

@@ -31,9 +31,11 @@ def good_rows(rows: Column) -> Column:
 
 
 def lenient(response: Column) -> Column:
-    """A struct of ``results`` and ``invalid``: an array, salvaged if need be, else objects line by line
+    """A struct of ``results`` and ``invalid``: an array (of objects, or of arrays of them), salvaged if need be, else objects line by line
     with text around the braces trimmed. ``invalid`` counts non-blank lines or rows that gave nothing."""
-    array = salvaged_array(response)
+    cut = F.regexp_extract(response, r"(?s)\[.*\]", 0)
+    nested = F.when(F.try_parse_json(cut).isNotNull() & cut.rlike(r"\A\[\s*\["), F.flatten(F.from_json(cut, f"array<{ROWS}>")))
+    array = F.coalesce(nested, salvaged_array(response))
     lines = F.filter(F.split(response, r"\r?\n"), lambda x: F.trim(x) != "")
     parsed = F.transform(lines, lambda x: F.from_json(F.when(F.try_parse_json(F.regexp_extract(x, r"\{.*\}", 0)).isNotNull(), F.regexp_extract(x, r"\{.*\}", 0)), ROW))
     rows = F.coalesce(array, parsed)

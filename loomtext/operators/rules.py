@@ -9,25 +9,27 @@ from loomtext.functions import text as X
 from loomtext.functions.lexicon import RATIO_SHENG, RATIO_SWAHILI, SHENG, SWAHILI
 
 
-def _hits(distinct: Column, lexicon: tuple[str, ...]) -> Column:
-    return F.size(F.array_intersect(distinct, F.array(*map(F.lit, lexicon))))
+def _hits(known: Column, lexicon: tuple[str, ...]) -> Column:
+    return F.size(F.filter(known, lambda x: x.isin(*lexicon)))
 
 
 def lexicon_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``n_letters, n_tokens, n_sw, n_sh``; hits count distinct tokens. Null text counts as empty."""
-    out = df.withColumn("_tokens", X.tokens(F.coalesce(F.col(text), F.lit(""))))
-    out = out.withColumn("_once", F.array_distinct("_tokens"))
+    """``df`` with ``n_letters, enough_letters, n_tokens, n_sw, n_sh``; hits count distinct tokens. Null text counts as empty."""
+    given = F.coalesce(F.col(text), F.lit(""))
+    out = df.withColumn("_tokens", X.tokens(given))
+    # Few tokens of a text are in a lexicon, so repeats are looked for among those only.
+    out = out.withColumn("_known", F.array_distinct(F.filter("_tokens", lambda x: x.isin(*SWAHILI, *SHENG))))
     return out.withColumns({
-        "n_letters": X.letter_count(F.coalesce(F.col(text), F.lit(""))),
-        "n_tokens": F.size("_tokens"), "n_sw": _hits(F.col("_once"), SWAHILI), "n_sh": _hits(F.col("_once"), SHENG),
-    }).drop("_tokens", "_once")
+        "n_letters": X.letter_count(given), "enough_letters": X.enough_letters(given),
+        "n_tokens": F.size("_tokens"), "n_sw": _hits(F.col("_known"), SWAHILI), "n_sh": _hits(F.col("_known"), SHENG),
+    }).drop("_tokens", "_known")
 
 
 def lexicon_rule() -> Column:
     """The first rule that fits, over ``lexicon_counts``; null leaves the text to a model."""
     sw, sh, n = F.col("n_sw"), F.col("n_sh"), F.col("n_tokens")
     return (
-        F.when((F.col("n_letters") < 3) | (n == 0), F.lit(None).cast("string"))
+        F.when(~F.col("enough_letters") | (n == 0), F.lit(None).cast("string"))
         .when((sw == 0) & (sh == 0) & (n >= 4), "English")
         .when((sw >= 3) & (sh == 0), "Swahili")
         .when(sh >= 1, "Sheng")
@@ -98,19 +100,31 @@ def word_zipf(texts: DataFrame) -> DataFrame:
     return counts.select("word", F.log10(F.col("n") * F.lit(1e9) / F.lit(float(total))).alias("zipf"))
 
 
+#: English words up to which they become a literal set; a bound on zipf bounds them too: 10 ** (9 - zipf) at most.
+LITERALS = 10_000
+
+
 def sentence_shares(lines: DataFrame, zipf: DataFrame, least: float = 3.0) -> DataFrame:
     """``(line_id, text)`` to a row for each sentence with a token:
     ``line_id, sent_id, label, total_tokens, en_tokens, en_ratio, text``.
 
     Sentences are numbered from 1, those without tokens included. The label takes the exact share,
-    the output a rounded one. Words are looked up once for each sentence and distinct word.
+    the output a rounded one. A short list of English words is looked up in place, without a shuffle; a long one
+    is joined, once for each sentence and distinct word.
     """
     s = lines.select("line_id", F.posexplode(X.sentences(F.coalesce(F.col("text"), F.lit("")))).alias("pos", "sentence"))
     s = s.select("line_id", (F.col("pos") + 1).cast("long").alias("sent_id"), "sentence", X.tokens(F.col("sentence")).alias("tok")).where(F.size("tok") > 0)
-    words = s.select("line_id", "sent_id", F.explode("tok").alias("word")).groupBy("line_id", "sent_id", "word").agg(F.count("*").alias("n"))
-    english = zipf.where(F.col("zipf") >= least).select("word", F.lit(True).alias("en"))
-    counts = words.join(english, "word", "left").groupBy("line_id", "sent_id").agg(F.sum("n").alias("total_tokens"), F.sum(F.when(F.col("en"), F.col("n")).otherwise(0)).alias("en_tokens"))
+    english = zipf.where(F.col("zipf") >= least).select("word").distinct()
+    few = [r["word"] for r in english.limit(LITERALS + 1).collect()]
+    if len(few) <= LITERALS:
+        hits = F.size(F.filter("tok", lambda x: x.isin(*few))) if few else F.lit(0)
+        counted = s.select("line_id", "sent_id", "sentence", F.size("tok").cast("long").alias("total_tokens"), hits.cast("long").alias("en_tokens"))
+    else:
+        words = s.select("line_id", "sent_id", F.explode("tok").alias("word")).groupBy("line_id", "sent_id", "word").agg(F.count("*").alias("n"))
+        known = words.join(english.withColumn("en", F.lit(True)), "word", "left")
+        counts = known.groupBy("line_id", "sent_id").agg(F.sum("n").alias("total_tokens"), F.sum(F.when(F.col("en"), F.col("n")).otherwise(0)).alias("en_tokens"))
+        counted = s.drop("tok").join(counts, ["line_id", "sent_id"])
     ratio = F.col("en_tokens") / F.col("total_tokens")
-    return s.join(counts, ["line_id", "sent_id"]).select(
+    return counted.select(
         "line_id", "sent_id", english_ladder(F.col("total_tokens"), ratio).alias("label"), "total_tokens", "en_tokens", F.round(ratio, 3).alias("en_ratio"), F.col("sentence").alias("text")
     )

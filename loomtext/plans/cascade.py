@@ -6,6 +6,7 @@ it, so no plan asks twice. Every item that passes the gate comes out, labelled o
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -54,9 +55,11 @@ GATES = {
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder where it names none."""
+    """``spark.checkpoint.dir`` of the session. A temporary folder where it names none and Spark runs in one process; elsewhere that is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='loomtext-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -93,16 +96,18 @@ def run_cascade(items: DataFrame, preset: Preset = PRESETS["cascade"], done: Dat
     else:
         keyed = keyed.withColumn("_cached", F.lit(None).cast("string"))
     if preset.use_rule:
-        keyed = rules.lexicon_counts(keyed).withColumn("_rule", rules.lexicon_rule()).drop("n_letters", "n_tokens", "n_sw", "n_sh")
+        keyed = rules.lexicon_counts(keyed).withColumn("_rule", rules.lexicon_rule()).select("id", "text", "h", "_cached", "_rule")
     else:
         keyed = keyed.withColumn("_rule", F.lit(None).cast("string"))
-    cheap = F.coalesce("_cached", "_rule")
-    open_ = keyed.where(cheap.isNull()).groupBy(F.col("h").alias("id")).agg(F.min("text").alias("text"))
+    # Gate, cache and rule are evaluated once; only rows that they leave open meet the model's answers.
+    origin = F.when(F.col("_cached").isNotNull(), "cache").when(F.col("_rule").isNotNull(), "rule")
+    seen = _stored(keyed.select("id", "text", "h", F.coalesce("_cached", "_rule").alias("label"), origin.alias("origin")))
+    closed, left = seen.where("label IS NOT NULL"), seen.where("label IS NULL")
+    open_ = left.groupBy(F.col("h").alias("id")).agg(F.min("text").alias("text"))
     asked = label_batches(open_.select("id", prompt_text(preset)(F.col("text")).alias("text")), provider or HashProvider(), preset.retry, preset.batch)
-    answers = _stored(asked).select(F.col("id").alias("h"), F.col("label").alias("_model"), "failure")
-    out = keyed.join(answers, "h", "left")
-    origin = F.when(F.col("_cached").isNotNull(), "cache").when(F.col("_rule").isNotNull(), "rule").otherwise("model")
-    return out.select("id", "text", F.coalesce("_cached", "_rule", "_model").alias("label"), origin.alias("origin"), "failure")
+    answers = _stored(asked).select(F.col("id").alias("h"), "label", "failure")
+    told = left.drop("label").join(answers, "h", "left").select("id", "text", "label", F.lit("model").alias("origin"), "failure")
+    return closed.select("id", "text", "label", "origin", F.lit(None).cast("string").alias("failure")).unionByName(told)
 
 
 def new_cache_rows(labelled: DataFrame) -> DataFrame:

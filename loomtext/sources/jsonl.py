@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
@@ -64,9 +64,17 @@ def extract_text(value: Column) -> Column:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line_id, value`` with physical line numbers from 1, by file; blank lines count. A file is one task's value."""
-    whole = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", r"\r\n|\r", "\n"), "\n").alias("v"))
-    return whole.select(F.posexplode("v").alias("pos", "value")).select((F.col("pos") + 1).cast("long").alias("line_id"), "value")
+    """``file, line_id, value`` with physical line numbers from 1, by file; blank lines count.
+
+    Files may be split: lines are numbered within a split in the order in which it is read, and splits by running counts of their
+    lines. Only a row for each split meets in a window, one window a file.
+    """
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start")]
+    raw = spark.read.text(path).select("value", *place, F.monotonically_increasing_id().alias("_n"))
+    splits = raw.groupBy("file", "_start").agg(F.min("_n").alias("_first"), F.count("*").alias("_lines"))
+    before = F.coalesce(F.sum("_lines").over(Window.partitionBy("file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = splits.select("file", "_start", "_first", before.alias("_before"))
+    return raw.join(begins, ["file", "_start"]).select("file", (F.col("_n") - F.col("_first") + F.col("_before") + 1).alias("line_id"), "value")
 
 
 def detector_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -227,3 +227,40 @@ def test_streams(spark, tmp_path):
     q = streams.distinct_texts(streams.stream_items(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("d").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("d").count() == 3
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    lines = ["" if i % 7 == 0 else f"line {i} " + "x" * (i % 50) for i in range(1, 5001)]
+    for name in ("a.txt", "b.txt"):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        got = jsonl.numbered_lines(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() > 1
+        rows = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for name in ("a.txt", "b.txt"):
+        assert sorted((r.line_id, r.value) for r in rows if r.file.endswith(name)) == list(enumerate(lines, 1))
+
+
+def test_strip_is_linear(spark):
+    import time
+
+    texts = [" " * 200_000, "x" + " " * 200_000 + "y", "\u3000 \x1c a b\x85 ", "\n" * 100_000 + "z", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    began = time.monotonic()
+    assert [r.s for r in df.select("id", X.strip(F.col("t")).alias("s")).orderBy("id").collect()] == [t if t is None else t.strip() for t in texts]
+    assert time.monotonic() - began < 20
+
+
+def test_no_local_folder_on_a_cluster():
+    class Conf:
+        get = staticmethod(lambda *a: None)
+
+    class Cluster:
+        conf = Conf
+        sparkContext = type("C", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        cascade.shared_folder(Cluster)

@@ -93,3 +93,11 @@ def test_numbered_ids(spark):
     df = spark.createDataFrame([(i * 3000, None if i % 2 else f"k{i}") for i in range(10)], "n long, id string")
     assert [r.id for r in clean.numbered_ids(df, "n").orderBy("n").collect()] == ["k0", "auto_1", "k2", "auto_2", "k4", "auto_3", "k6", "auto_4", "k8", "auto_5"]
     assert [r.id for r in clean.numbered_ids(df, "n", count_all=True).orderBy("n").collect()][1::2] == ["auto_2", "auto_4", "auto_6", "auto_8", "auto_10"]
+
+
+def test_sentence_shares_join_and_literals_agree(spark, monkeypatch):
+    lines = spark.createDataFrame([(1, "The cat sat on the mat. ... 123! Bye"), (2, None), (3, "the the the the. zz yy xx the")], "line_id long, text string")
+    zipf = spark.createDataFrame([("the", 7.0), ("cat", 5.0), ("on", 6.5), ("rare", 1.0)], "word string, zipf double")
+    one = sorted(tuple(r) for r in rules.sentence_shares(lines, zipf).collect())
+    monkeypatch.setattr(rules, "LITERALS", 0)
+    assert sorted(tuple(r) for r in rules.sentence_shares(lines, zipf).collect()) == one and len(one) == 4
