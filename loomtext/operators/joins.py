@@ -89,8 +89,9 @@ def label_counts(rows: DataFrame, label: Column, domain: tuple[str, ...] | None
         return rows.groupBy(F.coalesce(label, F.lit(other)).alias("label")).agg(F.count("*").alias("n"))
     counts = rows.groupBy(F.when(label.isin(*domain), label).otherwise(other).alias("label")).agg(F.count("*").alias("n"))
     spark = rows.sparkSession
-    names = spark.range(1).select(F.explode(F.array(*map(F.lit, (*domain, other)))).alias("label"))
-    return names.join(counts, "label", "left").select("label", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    # Zeros are added, not joined: a join would infer a filter on the label and push it, rule and all, down to the scan.
+    zeros = spark.range(1).select(F.explode(F.array(*map(F.lit, (*domain, other)))).alias("label"), F.lit(0).cast("long").alias("n"))
+    return counts.unionByName(zeros).groupBy("label").agg(F.sum("n").alias("n"))
 
 
 def hash_groups(items: DataFrame) -> DataFrame:
