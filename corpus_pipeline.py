@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.llm import bpe, mixing, pii, simhash, toxicity
-from loomtext.llm.common import stored, table
+from loomtext.llm.common import discard, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +56,11 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs, paths = table(spark, sf_dir, "documents"), []
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = stored(docs, name)
+            docs = stored(docs, name, paths)
+            discard(spark, *paths[:-1])  # what the stage before has written
+            paths = paths[-1:]
     return docs
