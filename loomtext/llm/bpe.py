@@ -169,8 +169,14 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     return flat.astype(np.int32), offsets
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], column: int, merges: Merges, pattern: str, block: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def joined(ids: np.ndarray, tokens: dict[int, bytes]) -> bytes:
+    """The bytes of ids."""
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], column: int, merges: Merges, pattern: str, block: int, names: list[str], decoded: bool) -> Iterator[pa.RecordBatch]:
     find = regex.compile(pattern).findall
+    tokens = {r: t for t, r in merges.ranks.items()} if decoded else {}
     vocabulary: defaultdict[str, int] = defaultdict(count().__next__)
     held: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
     size = 0
@@ -184,7 +190,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], column: int, merges: Merges, pat
             ids = flat[np.repeat(offsets[occurrences] - (ends - n), n) + np.arange(int(n.sum()))]
             bounds = np.r_[0, ends][np.r_[0, np.cumsum(per_doc)]]
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], schema=pa.schema([*batch.schema, pa.field(schema.names[-1], lists.type)]))
+            more = [pa.array([joined(ids[a:b], tokens) for a, b in zip(bounds.tolist(), bounds[1:].tolist())], pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, *more], names=names)
         held.clear()
         vocabulary.clear()
 
@@ -206,22 +213,24 @@ def _encoded(batches: Iterator[pa.RecordBatch], column: int, merges: Merges, pat
         yield from flush()
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", block: int = BLOCK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", block: int = BLOCK_CHARS, decoded: str | None = None) -> DataFrame:
     """``docs`` with ``ids`` (array of int) appended under a free name; text isn't changed. Vocabularies are those of blocks of documents.
 
     Every match of ``pattern`` is encoded by itself, special tokens are plain text. Null and empty
     texts have no ids. Repeated rows encode alike; an empty table gives no rows. Characters outside
-    every match of the pattern have no ids (the public patterns match all).
+    every match of the pattern have no ids (the public patterns match all). With ``decoded`` the bytes that the ids decode to
+    are appended too, made in the same worker: a worker for decoding beside each would cost memory.
     """
     name = free_name(docs, ids)
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     at = docs.columns.index(text)
-    out = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType(), False), True)])
-    names = pa.schema([pa.field(c, pa.null()) for c in out.names])
+    more = [T.StructField(free_name(docs, decoded), T.BinaryType())] if decoded else []
+    out = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType(), False), True), *more])
+    names = out.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _encoded(batches, at, Merges(shared.value), pattern, block, names)
+        return _encoded(batches, at, Merges(shared.value), pattern, block, names, bool(more))
 
     return docs.mapInArrow(run, out)
 
@@ -358,17 +367,15 @@ def decode(spark: SparkSession, ids: Column, ranks: dict[bytes, int]) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = {r: t for t, r in shared.value.items()}
         for b in batches:
-            yield pd.Series([None if x is None else b"".join(map(table.__getitem__, np.asarray(x).tolist())) for x in b], dtype=object)
+            yield pd.Series([None if x is None else joined(np.asarray(x), table) for x in b], dtype=object)
 
     return run(ids)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row."""
-    ranks = load_ranks(path)
-    coded = encode(docs.select("doc_id", "text"), ranks, pattern).select("doc_id", "ids")
-    back = coded.withColumn("decoded", decode(docs.sparkSession, F.col("ids"), ranks))
-    return back.select(
+    coded = encode(docs.select("doc_id", "text"), load_ranks(path), pattern, decoded="decoded")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

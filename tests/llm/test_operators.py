@@ -388,6 +388,8 @@ def test_bpe(docs, rows):
         ids = exact.encode_ordinary(t or "")
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     _same([tuple(r) for r in bpe.digests(_clash(docs), path, public_tokenizers.PATTERN).collect()], want)
+    back = bpe.decode(docs.sparkSession, F.col("ids"), ranks)
+    assert all(bytes(r.b) == (r.text or "").encode() for r in bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("text", back.alias("b")).collect())
     small = bpe.encode(_clash(docs), ranks, public_tokenizers.PATTERN, block=100)
     assert small.columns[-1] == "_ids" and small.where("ids <> 'mine'").count() == 0
 
