@@ -33,13 +33,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and digests of the ids and of what they decode to."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids="ids")
-    ids = F.col(coded.columns[-1])
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids="ids", decoded="decoded")
+    ids, decoded = map(F.col, coded.columns[-2:])
     return coded.withColumns({
         "n_tokens": F.size(ids).cast("long"),
         "ids_sha256": F.sha2(F.array_join(ids.cast("array<string>"), " ").cast("binary"), 256),
-        "decoded_sha256": F.sha2(bpe.decode(spark, ids, ranks), 256),
-    })
+        "decoded_sha256": F.sha2(decoded, 256),
+    }).drop(coded.columns[-1])
 
 
 STAGES = [
