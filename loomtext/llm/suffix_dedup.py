@@ -12,8 +12,8 @@ A byte goes if a 50-byte string that covers it also starts in a document with a
    all suffixes again: it refines the interleave of the shards by one symbol in each of 50 rounds, and
    the round that parts two neighbours is their common prefix. What 50 rounds don't part
    is a repeated interval; its smallest doc_id settles each of its windows.
-   A gram that occurs over ``HOT`` times may stand in as many contexts; its segments are cut into their windows, which are dealt by
-   their own bytes, so no task has more of an anchor than that.
+   The segments of a gram with over ``HOT`` rows are cut into their windows, which are dealt by
+   their own bytes, so no task has more of an anchor than that. Copies of a segment in a block are one row, however many they are.
 3. Each block of documents reads the verdicts on its segments and removes bytes.
 
 Blocks are written once, so their numbers hold whatever becomes of a task. Verdicts are read from the
@@ -23,11 +23,10 @@ They are named by two 64-bit hashes, of the segment and of its anchor.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import xxhash
@@ -40,47 +39,79 @@ from loomtext.llm.common import arrow_fs, freeing_shuffles, scratch
 LENGTH = 50
 GRAM = 26
 SPAN = LENGTH - GRAM + 1
-#: Bytes of a long text that are hashed at a time; positions within take the low bits of a key.
+#: Bytes of texts that are hashed at a time, so that arrays stay in a processor cache; positions within take the low bits of a key.
+PIECE_BYTES = 1 << 15
 PIECE_BITS = 20
 #: Bytes of segments in a shard, and in a portion of whole anchors; merges that fit a processor cache are twice as fast.
 SHARD_BYTES = 1 << 17
-MERGE_BYTES = 2 << 20
+MERGE_BYTES = 1 << 19
 #: Text bytes whose anchors a task counts together, and whose segments it gathers together.
 GATHER_BYTES = 48 << 20
-#: Occurrences of an anchor above which its windows are dealt one by one.
+#: Low bits of hashes that a first look-up compares.
+FILTER_BITS = 22
+#: Text bytes that are cleaned together.
+CUT_BYTES = 4 << 20
+#: Segments of an anchor, distinct in a portion of a block, above which its windows are dealt one by one.
 HOT = 20_000
+#: Occurrences of an anchor in a portion above which its distinct segments are counted; up to it, each counts.
+OFTEN = 8
 LAST = np.iinfo(np.int64).max
 #: Parts of the anchors for each task that takes them, so that tasks get about as much.
 FINE = 16
-#: Marks rows that are there for a block to have a file.
-BLANK = -1
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
 
 
 def runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor hashes, and first and last window, of all runs of a text; none under 50 bytes."""
-    step = (1 << PIECE_BITS) - 2 * LENGTH
-    found = [_runs(text[at : at + step + LENGTH - 1], at) for at in range(0, max(0, len(text) - LENGTH + 1), step)]
+    return runs_of(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[:3]
+
+
+def runs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hashes, first and last window (places in ``data``) and number of the text, of all runs of several texts.
+
+    Text ``k`` is ``data[offsets[k]:offsets[k + 1]]``. Short texts are hashed together, long ones in pieces that begin at fixed
+    places of the text, so a text's runs do not depend on the texts beside it.
+    """
+    n, step = len(offsets) - 1, PIECE_BYTES
+    found, i = [], 0
+    while i < n:
+        at, end = int(offsets[i]), int(offsets[i + 1])
+        if end - at > step:
+            for k in range(at, end - LENGTH + 1, step):
+                h, first, last = _runs(data[k : min(end, k + step + LENGTH - 1)], k, ())
+                found.append((h, first, last, np.full(len(h), i)))
+            i += 1
+        else:
+            j = max(i + 1, int(np.searchsorted(offsets, at + step, side="right")) - 1)
+            if offsets[j] - at >= LENGTH:
+                h, first, last = _runs(data[at : offsets[j]], at, (offsets[i + 1 : j] - at).tolist())
+                found.append((h, first, last, i + np.searchsorted(offsets[i : j + 1], first, side="right") - 1))
+            i = j
     if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _runs(text: bytes, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _words(text: np.ndarray, size: int) -> np.ndarray:
+    """The little-endian number of ``size`` bytes at each place of a text."""
+    text = np.ascontiguousarray(text)
+    return np.ndarray((len(text) - size + 1,), f"<u{size}", text, strides=(1,)).copy()
+
+
+def _runs(text: np.ndarray, at: int, inner: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of texts that stand one after another, begun at ``inner`` but for the first; no window lies in two of them."""
     n = len(text)
     grams, windows = n - GRAM + 1, n - LENGTH + 1
     with np.errstate(over="ignore"):
-        w1 = np.frombuffer(text, np.uint8).astype(np.uint64)
-        w2 = w1[:-1] | w1[1:] << np.uint64(8)
-        w4 = w2[:-2] | w2[2:] << np.uint64(16)
-        w8 = w4[:-4] | w4[4:] << np.uint64(32)
+        w8, w2 = _words(text, 8), _words(text, 2)
         h = w8[:grams] * _K[0]
         h ^= h >> np.uint64(31)
         h += w8[8 : 8 + grams] * _K[1]
         h ^= h >> np.uint64(29)
         h += w8[16 : 16 + grams] * _K[2]
         h ^= h >> np.uint64(32)
-        h = (h + w2[24 : 24 + grams]) * _K[4]
+        h += w2[24 : 24 + grams].astype(np.uint64)
+        h *= _K[4]
         h ^= h >> np.uint64(32)
     low = np.uint64((1 << PIECE_BITS) - 1)
     m = (h & ~low) | np.arange(grams, dtype=np.uint64)
@@ -88,8 +119,13 @@ def _runs(text: bytes, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         m = np.minimum(m[:-k], m[k:])
     m = np.minimum(m[:windows], m[SPAN - 16 : SPAN - 16 + windows])
     anchor = (m & low).astype(np.int64)
+    for k in inner:
+        anchor[max(0, k - LENGTH + 1) : k] = -1
     first = np.r_[0, np.flatnonzero(anchor[1:] != anchor[:-1]) + 1]
     last = np.r_[first[1:] - 1, windows - 1]
+    if inner:
+        inside = anchor[first] >= 0
+        first, last = first[inside], last[inside]
     return h[anchor[first]], first + at, last + at
 
 
@@ -249,51 +285,86 @@ def window_minima(segments: list[bytes], keys: np.ndarray) -> list[np.ndarray]:
     return np.split(out, at[1:-1])
 
 
-def shared_windows(segments: list[bytes]) -> np.ndarray:
-    """Whether a segment has a window whose hash another segment's window has too: no others need the merge."""
-    lengths = np.fromiter(map(len, segments), np.int64, len(segments))
-    text = b"".join(segments)
+def shared_windows(text: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether a segment, of those that stand one after another in ``text``, has a window whose hash another segment's window has too: no others need the merge."""
     with np.errstate(over="ignore"):
-        w1 = np.frombuffer(text, np.uint8).astype(np.uint64)
-        w2 = w1[:-1] | w1[1:] << np.uint64(8)
-        w4 = w2[:-2] | w2[2:] << np.uint64(16)
-        w8 = w4[:-4] | w4[4:] << np.uint64(32)
+        w8, w2 = _words(text, 8), _words(text, 2)
         n = len(text) - LENGTH + 1
-        h = w2[48 : 48 + n] * _K[4]
+        h = w2[48 : 48 + n].astype(np.uint64) * _K[4]
         for at in range(0, 48, 8):
             h = (h ^ (h >> np.uint64(29))) * _K[at // 8 % 4] + w8[at : at + n]
         h = (h ^ (h >> np.uint64(32))) * _K[0]
     windows = lengths - LENGTH + 1
-    begins = np.cumsum(lengths) - lengths
-    owner = np.repeat(np.arange(len(segments)), windows)
-    h = h[np.repeat(begins - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))]
-    order = np.argsort(h, kind="stable")
+    owner = np.repeat(np.arange(len(lengths)), windows)
+    h = h[_ranges(np.cumsum(lengths) - lengths, windows)]
+    order = np.argsort(h)
     h, owner = h[order], owner[order]
     starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     mixed = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
-    out = np.zeros(len(segments), bool)
+    out = np.zeros(len(lengths), bool)
     out[owner[np.repeat(mixed, np.diff(np.r_[starts, len(h)]))]] = True
     return out
 
 
-def _settled(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """All rows of some anchors (h, t, least, most, seg) to verdicts: windows first..last of a segment of block t also start in ``doc``.
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers of the ranges of ``sizes`` from ``begins``, one range after another."""
+    return np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _names(text: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(text[i:j]) for i, j in zip(begins.tolist(), ends.tolist())), np.uint64, len(begins))
+
+
+class Rows(NamedTuple):
+    """Segments of anchors ``h`` in blocks ``t``, their smallest and largest doc_id there; ``seg`` has their bytes one after another."""
+
+    t: np.ndarray
+    h: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
+    size: np.ndarray
+    seg: np.ndarray
+
+
+def _settled(r: Rows) -> Iterator[tuple[np.ndarray, ...]]:
+    """Rows of whole anchors to verdicts (t, h, segment, first, last, doc), a portion of anchors at a time: windows first..last of a segment of block t also start in ``doc``.
 
     An anchor's only distinct segment, and one whose windows' hashes no other segment has, are intervals of their own: differing hashes
     prove that windows differ. Where distinct segments may share a window, the merge decides, never a hash.
     """
-    code, segments = pd.factorize(group["seg"].to_numpy())
+    order = np.argsort(r.h, kind="stable")
+    begins = (np.cumsum(r.size) - r.size)[order]
+    t, h, least, most, size = (x[order] for x in r[:5])
+    sizes = np.cumsum(size)
+    anchors = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    # A portion ends with the anchor that reaches its bytes.
+    cuts = anchors[np.r_[True, np.diff((sizes - size)[anchors] // MERGE_BYTES) > 0]]
+    for a, b in zip(cuts, np.r_[cuts[1:], len(h)]):
+        at = slice(a, b)
+        yield from _portion(Rows(t[at], h[at], least[at], most[at], size[at], r.seg[_ranges(begins[at], size[at])]))
+
+
+def _portion(r: Rows) -> Iterator[tuple[np.ndarray, ...]]:
+    text = r.seg.tobytes()
+    ends = np.cumsum(r.size)
+    numbers: dict[bytes, int] = {}
+    code = np.fromiter((numbers.setdefault(text[i:j], len(numbers)) for i, j in zip((ends - r.size).tolist(), ends.tolist())), np.int64, len(ends))
+    segments = list(numbers)
+    del numbers
     least = np.full(len(segments), LAST)
-    np.minimum.at(least, code, group["least"].to_numpy())
+    np.minimum.at(least, code, r.least)
     anchor = np.empty(len(segments), np.int64)
-    anchor[code] = group["h"].to_numpy()
-    _, inverse, n = np.unique(anchor, return_inverse=True, return_counts=True)
-    alone = n[inverse] == 1
+    anchor[code] = r.h
+    # Rows come by anchors, so distinct segments do.
+    starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+    n = np.diff(np.r_[starts, len(anchor)])
+    alone = np.repeat(n == 1, n)
     sizes = np.fromiter(map(len, segments), np.int64, len(segments)) - LENGTH + 1
     # Verdicts on distinct segments: pieces of windows that have the same smallest key.
     several = np.flatnonzero(~alone)
     if len(several):
-        alone[several] = ~shared_windows([segments[i] for i in several])
+        alone[several] = ~shared_windows(np.frombuffer(b"".join([segments[i] for i in several]), np.uint8), sizes[several] + LENGTH - 1)
         several = np.flatnonzero(~alone)
     whose, first, last, doc = [np.flatnonzero(alone)], [np.zeros(int(alone.sum()), np.int64)], [sizes[alone] - 1], [least[alone]]
     if len(several):
@@ -306,38 +377,80 @@ def _settled(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
         first.append(cut - begin[cut])
         last.append(np.r_[cut[1:], len(flat)] - 1 - begin[cut])
         doc.append(flat[cut])
-    v = pd.DataFrame({"code": np.concatenate(whose), "first": np.concatenate(first), "last": np.concatenate(last), "doc": np.concatenate(doc)})
-    rows = pd.DataFrame({"code": code, "t": group["t"].to_numpy(), "h": group["h"].to_numpy(), "most": group["most"].to_numpy()})
-    out = rows.merge(v, on="code")
-    out = out[out["doc"] < out["most"]]
-    names = np.array([np.int64(np.uint64(xxhash.xxh64_intdigest(s))) for s in segments], np.int64)
-    if len(out):
-        yield pd.DataFrame({"t": out["t"], "h": out["h"], "segment": names[out["code"]], "first": out["first"].astype(np.int32), "last": out["last"].astype(np.int32), "doc": out["doc"]})
-
-
-def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by anchor, merged in portions of whole anchors."""
-    held: list[pd.DataFrame] = []
-    size = 0
+    whose, first, last, doc = (np.concatenate(x) for x in (whose, first, last, doc))
+    # The verdicts of each row's segment.
+    order = np.argsort(whose, kind="stable")
+    count = np.bincount(whose, minlength=len(segments))
+    v = order[_ranges((np.cumsum(count) - count)[code], count[code])]
+    row = np.repeat(np.arange(len(code)), count[code])
+    keep = doc[v] < r.most[row]
+    v, row = v[keep], row[keep]
+    if len(v):
+        names = np.fromiter(map(xxhash.xxh64_intdigest, segments), np.uint64, len(segments))
+        yield r.t[row], r.h[row], names[code[row]], first[v].astype(np.uint8), last[v].astype(np.uint8), doc[v]
+
+
+def _column(x: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a binary column without nulls."""
+    kind = np.int64 if pa.types.is_large_binary(x.type) else np.int32
+    _, offsets, data = x.buffers()
+    if not len(x):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    offsets = np.frombuffer(offsets, kind)[x.offset : x.offset + len(x) + 1].astype(np.int64)
+    data = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    return offsets - offsets[0], data
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """A binary row for each range between two cuts."""
+    offsets = np.ascontiguousarray(cuts * values.itemsize, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, bool, pa.Array, np.ndarray, np.ndarray]]:
+    """Rows (t, doc_id, text) to portions of a block: its number, whether they are its first, their ids, and the offsets and bytes of their texts."""
+    block, fresh, held, size = None, True, [], 0
+
+    def flush() -> tuple[int, bool, pa.Array, np.ndarray, np.ndarray]:
+        ids = pa.concat_arrays([x[0] for x in held])
+        sizes = np.concatenate([np.diff(x[1]) for x in held])
+        return block, fresh, ids, np.r_[0, np.cumsum(sizes)], np.concatenate([x[2] for x in held])
+
     for b in batches:
-        length = b["seg"].map(len)
-        blank = length == 0
-        if blank.any():  # rows that stand for blocks
-            yield pd.DataFrame({"t": b["t"][blank], "h": b["h"][blank], "segment": 0, "first": BLANK, "last": BLANK, "doc": LAST}).astype({"first": np.int32, "last": np.int32})
-            b = b[~blank]
-        if not len(b):
-            continue
-        held.append(b)
-        size += int(length.sum())
-        if size >= MERGE_BYTES:
-            x = pd.concat(held, ignore_index=True)
-            open_ = x["h"] == x["h"].iloc[-1]
-            if not open_.all():
-                yield from _settled(x[~open_])
-                x = x[open_]
-            held, size = [x], int(x["seg"].map(len).sum())
+        t = b.column(0).to_numpy(zero_copy_only=False)
+        offsets, data = _column(b.column(2))
+        i = 0
+        while i < len(t):
+            if t[i] != block or size >= most:
+                if held:
+                    yield flush()
+                block, fresh, held, size = int(t[i]), t[i] != block, [], 0
+            others = np.flatnonzero(t[i:] != block)
+            j = min(int(i + others[0]) if len(others) else len(t), max(i + 1, int(np.searchsorted(offsets, offsets[i] + most - size, side="right"))))
+            j = min(j, len(t))
+            held.append((b.column(1).slice(i, j - i), offsets[i : j + 1], data[offsets[i] : offsets[j]]))
+            size += int(offsets[j] - offsets[i])
+            i = j
     if held:
-        yield from _settled(pd.concat(held, ignore_index=True))
+        yield flush()
+
+
+def _keys(ids: pa.Array) -> np.ndarray:
+    return ids.fill_null(LAST).to_numpy(zero_copy_only=False)
+
+
+def _in(values: np.ndarray, sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the values (hashes) that occur among the sorted ones, and their places there."""
+    if not len(sorted_):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    # Most values are none of them, and a table of low bits shows that sooner than a search.
+    low = values.dtype.type((1 << FILTER_BITS) - 1)
+    seen = np.zeros(1 << FILTER_BITS, bool)
+    seen[sorted_ & low] = True
+    hit = np.flatnonzero(seen[values & low])
+    at = np.minimum(np.searchsorted(sorted_, values[hit]), len(sorted_) - 1)
+    same = sorted_[at] == values[hit]
+    return hit[same], at[same]
 
 
 def _part(folder: str, t: int, columns: list[str]) -> pa.Table:
@@ -347,22 +460,20 @@ def _part(folder: str, t: int, columns: list[str]) -> pa.Table:
     return pa.concat_tables([pq.read_table(f, filesystem=system, columns=columns, partitioning=None) for f in files])
 
 
+def _unpacked(table: pa.Table, column: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table[column].to_pylist()), kind)
+
+
 def _by_block(df: DataFrame, folder: str) -> None:
     with freeing_shuffles(df.sparkSession):
         df.repartition("t").sortWithinPartitions("t").write.partitionBy("t").option("compression", "zstd").parquet(folder)
 
 
-def hash_of(t: int) -> int:
-    return xxhash.xxh64_intdigest(t.to_bytes(4, "little"))
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def _window_key(window: bytes) -> int:
-    """What a window of a hot anchor is dealt by."""
-    return _signed(xxhash.xxh64_intdigest(window, 1))
+def _window_keys(names: np.ndarray) -> np.ndarray:
+    """What windows of hot anchors, named like segments, are dealt by."""
+    with np.errstate(over="ignore"):
+        k = names * _K[1]
+        return ((k ^ k >> np.uint64(31)) * _K[2]).view(np.int64)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -390,42 +501,39 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + int((blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (32 << 20)))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each block and part that an anchor's hash falls in: its anchors there, and how often they stand (shifted) and whether in several documents."""
-        got, size, block = [], 0, None
+        """A row for each block and part that an anchor's hash falls in: its anchors there, and in how many contexts they stand (shifted) and whether in several documents."""
 
-        def rows(part: list[int], h: list[bytes], mark: list[bytes]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([block] * len(part), pa.int32()), pa.array(h, pa.binary()), pa.array(mark, pa.binary())], names=["part", "t", "h", "mark"])
+        def rows(block: int, part: np.ndarray, h: pa.Array, mark: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.full(len(part), block, np.int32)), h, mark], names=["part", "t", "h", "mark"])
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            h, n = (np.concatenate(x) for x in zip(*got))
+        for block, fresh, _, offsets, data in _gathered(batches, GATHER_BYTES):
+            if fresh:  # so that every block has a row
+                yield rows(block, [block % (FINE * n_parts)], pa.array([b""]), pa.array([b""]))
+            h, first, last, doc = runs_of(data, offsets)
             if not len(h):
-                return
+                continue
             order = np.argsort(h)
-            h, n = h[order], n[order]
+            h, doc = h[order], doc[order]
             starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            docs, times = np.diff(np.r_[starts, len(h)]), np.add.reduceat(n, starts)
-            h, mark = h[starts], (np.minimum(times, 1 << 29) << 1 | (docs > 1)).astype(np.int32)
+            times = np.diff(np.r_[starts, len(h)])
+            several = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+            # Few anchors stand often; contexts of the others count as often as they stand.
+            often = np.flatnonzero(times > OFTEN)
+            if len(often):
+                at = order[_ranges(starts[often], times[often])]
+                whose, name = np.repeat(often, times[often]), _names(data.tobytes(), first[at], last[at] + LENGTH)
+                by = np.lexsort((name, whose))
+                whose, name = whose[by], name[by]
+                new = np.r_[True, (whose[1:] != whose[:-1]) | (name[1:] != name[:-1])]
+                times[often] = np.bincount(whose[new], minlength=len(times))[often]
+            h, mark = h[starts], (np.minimum(times, 1 << 29) << 1 | several).astype(np.int32)
             part = (h % np.uint64(FINE * n_parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             part, h, mark = part[order], h[order], mark[order]
-            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist()
-            ends = [*cuts[1:], len(h)]
-            for i in range(0, len(cuts), 64):
-                pairs = list(zip(cuts[i : i + 64], ends[i : i + 64]))
-                yield rows([int(part[a]) for a, _ in pairs], [h[a:b].tobytes() for a, b in pairs], [mark[a:b].tobytes() for a, b in pairs])
-
-        for b in batches:
-            for t, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
-                if got and (t != block or size >= GATHER_BYTES):
-                    yield from flush()
-                    got, size = [], 0
-                if t != block:
-                    block = t
-                    yield rows([t % (FINE * n_parts)], [b""], [b""])  # so that every block has a row
-                size += len(text)
-                got.append(np.unique(runs(text)[0], return_counts=True))  # once a document
-        if got:
-            yield from flush()
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+            out = rows(block, part[cuts[:-1]], _packed(h, cuts), _packed(mark, cuts))
+            for i in range(0, out.num_rows, 512):
+                yield out.slice(i, 512)
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each block that comes, the anchors that stand in several documents, and which are hot."""
@@ -455,76 +563,95 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     seen = blocks.mapInArrow(anchors, "part int, t int, h binary, mark binary").repartition(n_parts, "part").mapInArrow(repeated, "t int, h binary, hot binary")
     _by_block(seen, f"{base}/anchors")
 
-    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        block, wanted, hot, got, size = None, None, None, {}, 0
-
-        def flush() -> Iterator[pd.DataFrame]:
-            rows = list(got.items())
-            for i in range(0, len(rows), 20_000):
-                part = rows[i : i + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[1][0] for r in part], pa.int64()), pa.array(np.full(len(part), block, np.int32)), pa.array([r[1][1] for r in part], pa.int64()), pa.array([r[1][2] for r in part], pa.int64()), pa.array([r[0] for r in part], pa.binary())],
-                    names=["h", "t", "least", "most", "seg"],
-                )
-
-        for b in batches:
-            for t, doc, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                if t != block or size >= GATHER_BYTES:
-                    if got:
-                        yield from flush()
-                        got, size = {}, 0
-                    if t != block:
-                        block, (wanted, hot) = t, _anchors(base, t)
-                        yield pa.RecordBatch.from_arrays([pa.array([_signed(hash_of(t))]), pa.array([t], pa.int32()), pa.array([LAST]), pa.array([LAST]), pa.array([b""], pa.binary())], names=["h", "t", "least", "most", "seg"])
-                size += len(text)
-                if not len(wanted):
-                    continue
-                h, first, last = runs(text)
-                h = h.view(np.int64)
-                at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
-                hit = np.flatnonzero(wanted[at] == h)
-                key = LAST if doc is None else doc
-                for g, split, i, j in zip(h[hit].tolist(), hot[at[hit]].tolist(), first[hit].tolist(), (last[hit] + LENGTH).tolist()):
-                    for s in [text[k : k + LENGTH] for k in range(i, j - LENGTH + 1)] if split else [text[i:j]]:
-                        old = got.get(s)
-                        if old is None:
-                            got[s] = (_window_key(s) if split else g, key, key)
-                        elif key < old[1] or key > old[2]:
-                            got[s] = (old[0], min(key, old[1]), max(key, old[2]))
-        if got:
-            yield from flush()
-
-    dealt = blocks.mapInArrow(segments, "h long, t int, least long, most long, seg binary").repartition(n_parts, "h").sortWithinPartitions("h")
-    _by_block(dealt.mapInPandas(_settle, "t int, h long, segment long, first int, last int, doc long"), f"{base}/verdicts")
-
-    def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        block, wanted, hot, verdicts = None, None, None, None
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each block and part that an anchor's hash falls in: the distinct segments of its repeated anchors there."""
+        columns = ["h", "least", "most", "size", "seg"]
+        for block, fresh, ids, offsets, data in _gathered(batches, GATHER_BYTES):
+            if fresh:  # so that every block has a row
+                wanted, hot = _anchors(base, block)
+                yield pa.RecordBatch.from_arrays([pa.array([block % (FINE * n_parts)], pa.int32()), pa.array([block], pa.int32()), *[pa.array([b""])] * 5], names=["part", "t", *columns])
+            h, first, last, doc = runs_of(data, offsets)
+            hit, at = _in(h.view(np.int64), wanted)
+            if not len(hit):
+                continue
+            h, first, size, split, key = h[hit].view(np.int64), first[hit], last[hit] - first[hit] + LENGTH, hot[at], _keys(ids)[doc[hit]]
+            del last, doc, hit, at
+            text = data.tobytes()
+            least, most, one = _distinct(h, _names(text, first, first + size), key, key)
+            h, first, size, split = h[one], first[one], size[one], split[one]
+            if split.any():
+                x = np.flatnonzero(split)
+                n = size[x] - LENGTH + 1
+                begin = _ranges(first[x], n)
+                name = _names(text, begin, begin + LENGTH)
+                low, high, one = _distinct(np.repeat(h[x], n), name, np.repeat(least[x], n), np.repeat(most[x], n))
+                h, first = np.r_[h[~split], _window_keys(name[one])], np.r_[first[~split], begin[one]]
+                least, most, size = np.r_[least[~split], low], np.r_[most[~split], high], np.r_[size[~split], np.full(len(one), LENGTH)]
+            del text
+            part = (h.view(np.uint64) % np.uint64(FINE * n_parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part, h, least, most, first, size = (x[order] for x in (part, h, least, most, first, size))
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+            ends = np.r_[0, np.cumsum(size)]
+            i = 0
+            while i < len(cuts) - 1:
+                j = max(i + 1, int(np.searchsorted(ends[cuts], ends[cuts[i]] + MERGE_BYTES)) - 1)
+                at, some = slice(cuts[i], cuts[j]), cuts[i : j + 1] - cuts[i]
+                arrays = [_packed(x[at], some) for x in (h, least, most, size.astype(np.uint8))]
+                seg = _packed(data[_ranges(first[at], size[at])], ends[cuts[i : j + 1]] - ends[cuts[i]])
+                yield pa.RecordBatch.from_arrays([pa.array(part[cuts[i:j]], pa.int32()), pa.array(np.full(j - i, block, np.int32)), *arrays, seg], names=["part", "t", *columns])
+                i = j
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each block that comes: the verdicts on its segments."""
+        got, every = [], set()
         for b in batches:
-            rows, size = [], 0
-            for t, doc, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                if t != block:
-                    block, table = t, _part(f"{base}/verdicts", t, ["h", "segment", "first", "last", "doc"])
-                    anchors, split = _anchors(base, t)
-                    hot = anchors[split]
-                    wanted, verdicts = np.unique(np.r_[table["h"].to_numpy(), hot]), {}
-                    # By the unsigned hash of the segment; most have one verdict.
-                    names = table["segment"].to_numpy().view(np.uint64).tolist()
-                    for s, v in zip(names, zip(*(table[c].to_numpy().tolist() for c in ("h", "first", "last", "doc")))):
-                        if s in verdicts:
-                            verdicts[s] += (v,)
-                        else:
-                            verdicts[s] = (v,)
-                rows.append((doc, *_cut(text, LAST if doc is None else doc, wanted, hot, verdicts)))
-                size += len(text)
-                if size > 8 << 20:
-                    yield _result(rows)
-                    rows, size = [], 0
-            if rows:
-                yield _result(rows)
+            t = b.column(1).to_numpy(zero_copy_only=False)
+            every.update(t.tolist())
+            (n, h), *rest = (_column(b.column(i)) for i in range(2, 7))
+            least, most, size, seg = (x[1] for x in rest)
+            got.append(Rows(np.repeat(t, np.diff(n) // 8), h.view(np.int64), least.view(np.int64), most.view(np.int64), size.astype(np.int64), seg))
+        if not got:
+            return
+        r = Rows(*(np.concatenate(x) for x in zip(*got)))
+        del got
+        out = list(_settled(r)) if len(r.h) else []
+        del r
+        empty = [np.zeros(0, k) for k in (np.int32, np.int64, np.uint64, np.uint8, np.uint8, np.int64)]
+        t, *verdicts = (np.concatenate(x) for x in zip(empty, *out))
+        del out
+        order = np.argsort(t, kind="stable")
+        blocks = np.array(sorted(every), np.int32)
+        cuts = np.r_[np.searchsorted(t[order], blocks), len(t)]
+        done = pa.RecordBatch.from_arrays([pa.array(blocks), *(_packed(x[order], cuts) for x in verdicts)], names=["t", "h", "segment", "first", "last", "doc"])
+        for i in range(0, done.num_rows, 64):
+            yield done.slice(i, 64)
+
+    dealt = blocks.mapInArrow(segments, "part int, t int, h binary, least binary, most binary, size binary, seg binary").repartition(n_parts, "part")
+    _by_block(dealt.mapInArrow(settle, "t int, h binary, segment binary, first binary, last binary, doc binary"), f"{base}/verdicts")
+
+    def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, fresh, ids, offsets, data in _gathered(batches, CUT_BYTES):
+            if fresh:
+                table = _part(f"{base}/verdicts", block, ["h", "segment", "first", "last", "doc"])
+                verdicts = Verdicts(*(_unpacked(table, *x) for x in (("segment", np.uint64), ("h", np.int64), ("first", np.uint8), ("last", np.uint8), ("doc", np.int64)))).ordered()
+                anchors, split = _anchors(base, block)
+                hot = anchors[split]
+                wanted = np.unique(np.r_[verdicts.h, hot])
+            kept, counts = _kept(data, offsets, _keys(ids), wanted, hot, verdicts)
+            yield pa.RecordBatch.from_arrays([ids, kept, *map(pa.array, counts)], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
     return blocks.mapInArrow(cleaned, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 
+def _distinct(h: np.ndarray, name: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each pair (h, name): smallest and largest key, and the place of one."""
+    order = np.lexsort((name, h))
+    h, name = h[order], name[order]
+    starts = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (name[1:] != name[:-1])])
+    return np.minimum.reduceat(least[order], starts), np.maximum.reduceat(most[order], starts), order[starts]
+
+
 def _anchors(base: str, t: int) -> tuple[np.ndarray, np.ndarray]:
     """A block's anchors that repeat, in order, and whether each is hot."""
     table = _part(f"{base}/anchors", t, ["h", "hot"])
@@ -533,49 +660,58 @@ def _anchors(base: str, t: int) -> tuple[np.ndarray, np.ndarray]:
     return h[order], hot[order]
 
 
+class Verdicts(NamedTuple):
+    """Windows first..last of the segment of that name, dealt by ``h``, also start in ``doc``."""
+
+    segment: np.ndarray
+    h: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    doc: np.ndarray
+
+    def ordered(self) -> Verdicts:
+        order = np.argsort(self.segment)
+        return Verdicts(*(x[order] for x in self))
+
+
+def _kept(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, wanted: np.ndarray, hot: np.ndarray, verdicts: Verdicts) -> tuple[pa.Array, tuple[np.ndarray, ...]]:
+    """The bytes of each text that stay; their sizes, the bytes that go, and the number of their runs. ``verdicts`` in the order of names."""
+    h, first, last, doc = runs_of(data, offsets)
+    h = h.view(np.int64)
+    hit, _ = _in(h, wanted)
+    h, first, size, key = h[hit], first[hit], last[hit] - first[hit] + LENGTH, keys[doc[hit]]
+    text = data.tobytes()
+    split = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
+    name = _names(text, first[~split], (first + size)[~split])
+    if split.any():
+        n = size[split] - LENGTH + 1
+        begin = _ranges(first[split], n)
+        windows = _names(text, begin, begin + LENGTH)
+        h, name = np.r_[h[~split], _window_keys(windows)], np.r_[name, windows]
+        first, key = np.r_[first[~split], begin], np.r_[key[~split], np.repeat(key[split], n)]
+    starts = np.flatnonzero(np.r_[True, verdicts.segment[1:] != verdicts.segment[:-1]][: len(verdicts.segment)])
+    of, at = _in(name, verdicts.segment[starts])
+    n = np.diff(np.r_[starts, len(verdicts.segment)])[at]
+    v, of = _ranges(starts[at], n), np.repeat(of, n)
+    held = (verdicts.h[v] == h[of]) & (verdicts.doc[v] < key[of])
+    v, of = v[held], of[held]
+    change = np.bincount(first[of] + verdicts.first[v], minlength=len(data) + 1) - np.bincount(first[of] + verdicts.last[v] + LENGTH, minlength=len(data) + 1)
+    gone = np.cumsum(change[: len(data)]) > 0
+    begins = gone.copy()
+    begins[1:] &= ~gone[:-1]
+    at = offsets[:-1][np.diff(offsets) > 0]
+    begins[at] = gone[at]  # runs end with their text
+    sizes = np.diff(offsets)
+    removed = np.diff(np.r_[0, np.cumsum(gone)][offsets])
+    return _packed(data[~gone], np.r_[0, np.cumsum(sizes - removed)]), (sizes, removed, np.diff(np.r_[0, np.cumsum(begins)][offsets]))
+
+
 def _cut(text: bytes, key: int, wanted: np.ndarray, hot: np.ndarray, verdicts: dict) -> tuple[bytes, int, int, int]:
-    """The bytes that stay, the text's size, the bytes that go, and the number of their runs."""
-    found: list[list[int]] = []
-    begin = end = -1  # of the last one found
-    if len(wanted) and len(text) >= LENGTH:
-        h, first, last = runs(text)
-        h = h.view(np.int64)
-        hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h)
-        split = np.isin(h[hit], hot).tolist() if len(hot) else repeat(False)
-        get, digest = verdicts.get, xxhash.xxh64_intdigest
-        for g, each, i, j in zip(h[hit].tolist(), split, first[hit].tolist(), (last[hit] + LENGTH).tolist()):
-            for k in range(i, j - LENGTH + 1) if each else (i,):
-                s = text[k : k + LENGTH] if each else text[i:j]
-                said = get(digest(s))
-                if said is not None:
-                    dealt = _window_key(s) if each else g
-                    for h_, a, b, doc in said:
-                        if doc < key and h_ == dealt:
-                            x, y = k + a, k + b + LENGTH
-                            if begin <= x <= end:
-                                if y > end:
-                                    found[-1][1] = end = y
-                            else:
-                                begin, end = x, y
-                                found.append([x, y])
-    # A segment that was gathered several times has verdicts in no order.
-    spans: list[tuple[int, int]] = []
-    for a, b in sorted(found):
-        if spans and a <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-        else:
-            spans.append((a, b))
-    at, kept = 0, []
-    for a, b in spans:
-        kept.append(text[at:a])
-        at = b
-    kept.append(text[at:])
-    return b"".join(kept), len(text), sum(b - a for a, b in spans), len(spans)
-
-
-def _result(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows))
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), *(pa.array(c, pa.int64()) for c in cols[2:])], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
+    """``_kept`` of one text, by the verdicts (h, first, last, doc) of each name."""
+    rows = [(s, *v) for s, said in verdicts.items() for v in said]
+    found = Verdicts(*(np.array(x, k) for x, k in zip(zip(*rows), (np.uint64, np.int64, np.uint8, np.uint8, np.int64)))).ordered()
+    kept, counts = _kept(np.frombuffer(text, np.uint8), np.array([0, len(text)]), np.array([key]), wanted, hot, found)
+    return (kept[0].as_py(), *(int(x[0]) for x in counts))
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -177,6 +177,34 @@ def test_suffix_dedup_with_hot_anchors(spark, monkeypatch, hot):
     _same([tuple(r) for r in suffix_dedup.digests(df).collect()], _repeats_brute(rows))
 
 
+def test_suffix_dedup_keeps_anchors_of_many_copies_whole(spark, monkeypatch, tmp_path):
+    """Only many contexts make an anchor hot: the copies of one passage, which grow with the table, are one segment a block."""
+    rng = random.Random(11)
+    piece = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, passage = piece(40), piece(300)
+    rows = [(i, passage) for i in range(150)] + [(200 + i, piece(50) + line + piece(50)) for i in range(100)]
+    monkeypatch.setattr(suffix_dedup, "HOT", 60)
+    monkeypatch.setattr(suffix_dedup, "scratch", lambda session, name: f"file://{tmp_path}/{name}")
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    _same([tuple(r) for r in suffix_dedup.digests(df).collect()], _repeats_brute(rows))
+    anchors, hot = suffix_dedup._anchors(f"file://{tmp_path}/repeats", 0)
+    of = lambda text: np.isin(anchors, suffix_dedup.runs(text.encode())[0].view(np.int64))
+    assert of(passage).any() and not hot[of(passage)].any()
+    assert hot.any()
+
+
+def test_suffix_dedup_runs_do_not_depend_on_neighbours(monkeypatch):
+    rng = random.Random(12)
+    texts = [bytes(rng.choice(b"ab \x00\xff") for _ in range(rng.choice([0, 1, 49, 50, 51, 120, 900]))) for _ in range(80)]
+    offsets = np.r_[0, np.cumsum([len(t) for t in texts])]
+    for size in (60, 300, 1 << 15):
+        monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", size)
+        h, first, last, doc = suffix_dedup.runs_of(np.frombuffer(b"".join(texts), np.uint8), offsets)
+        for k, text in enumerate(texts):
+            at = doc == k
+            assert [x.tolist() for x in (h[at], first[at] - offsets[k], last[at] - offsets[k])] == [x.tolist() for x in suffix_dedup.runs(text)]
+
+
 def test_lost_verdicts_are_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         suffix_dedup._part(f"file:{tmp_path}/none", 3, ["h"])
