@@ -260,7 +260,8 @@ _CACHE_SQL = f"cache AS (SELECT md5(text) AS h, max_by({_LANG_SQL}, doc_id) AS l
 
 
 def _cache(spark, d):
-    rows = _docs(spark, d).join(_marks(spark, d), "doc_id").select("doc_id", X.hash_key(F.col("text")).alias("h"), _language().alias("label"))
+    keys = _docs(spark, d).select("doc_id", X.hash_key(F.col("text")).alias("h"))  # before the join, which may deal its rows: no texts
+    rows = keys.join(_marks(spark, d), "doc_id").select("doc_id", "h", _language().alias("label"))
     return joins.last_wins(rows, "h", "label", "doc_id")
 
 
@@ -529,7 +530,7 @@ def jsonl_roundtrip(spark, d):
 def split_by_label_roundtrip(spark, d):
     """Labelled rows written to a folder for each label; unlabelled ones aren't written."""
     path = _folder(spark, "split")
-    labelled = rules.lexicon_counts(_items(spark, d)).select("id", "text", rules.lexicon_rule().alias("language"))
+    labelled = rules.ruled(_items(spark, d)).withColumnRenamed("label", "language")
     sinks.write_by_label(labelled, path)
     return spark.read.schema("id string, text string, language string, slug string").json(path).select("id", "slug")
 
@@ -774,7 +775,7 @@ wrong AS (SELECT DISTINCT md5(text) AS h, {HASH_LABEL.format('text')} AS label F
 SELECT h, label FROM wrong UNION ALL SELECT h, label FROM cache WHERE h NOT IN (SELECT h FROM wrong)""")
 def drift_recheck(spark, d):
     """Half of the rule's labels asked again; the cache with the answers that differ."""
-    labelled = rules.lexicon_counts(_items(spark, d)).select("id", "text", rules.lexicon_rule().alias("label"), F.lit("rule").alias("origin")).where("label IS NOT NULL")
+    labelled = rules.ruled(_items(spark, d)).withColumn("origin", F.lit("rule"))
     return cascade.recheck(labelled, _cache(spark, d), providers.HashProvider(), rule_share=0.5)[1]
 
 

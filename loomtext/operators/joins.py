@@ -65,11 +65,15 @@ def merge_labels(originals: DataFrame, labels: DataFrame, *order: str) -> DataFr
     return joined.select("id", "body", "language", F.when(X.known_label(F.col("language")), X.slug(F.col("language"))).otherwise("unknown").alias("slug"))
 
 
+def recheck_outcome() -> Column:
+    """Of ``expected`` and ``language``: match, mismatch or missing."""
+    return F.when(F.col("language").isNull(), "missing").when(F.col("language") == F.col("expected"), "match").otherwise("mismatch")
+
+
 def recheck_outcomes(expected: DataFrame, results: DataFrame) -> DataFrame:
     """``(recheck_id, expected)`` against ``(recheck_id, language)``: match, mismatch or missing, a row each."""
     got = results.groupBy("recheck_id").agg(F.max("language").alias("language"))
-    outcome = F.when(F.col("language").isNull(), "missing").when(F.col("language") == F.col("expected"), "match").otherwise("mismatch")
-    return expected.join(got, "recheck_id", "left").select("recheck_id", "expected", "language", outcome.alias("outcome"))
+    return expected.join(got, "recheck_id", "left").select("recheck_id", "expected", "language", recheck_outcome().alias("outcome"))
 
 
 def first_of_hash(items: DataFrame, order: str) -> DataFrame:

@@ -14,8 +14,10 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtext.functions.lexicon import LABELS
 
@@ -67,21 +69,24 @@ def _ask(provider: LabelProvider, items: list[dict], attempts: int, wait: float)
     return {}, why
 
 
-def label_batches(items: DataFrame, provider: LabelProvider, retry: Retry = Retry(), batch: int = 40) -> DataFrame:
+def label_batches(items: DataFrame, provider: LabelProvider, retry: Retry = Retry(), batch: int = 40, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id string, text string)`` to ``id, label, failure``: every row comes back, with a label or a reason.
 
-    With a ``hint`` column its value goes to the provider as the item's ``hint``.
+    With a ``hint`` column its value goes to the provider as the item's ``hint``. The columns named in ``keep``
+    come back with their rows, so that nothing has to be joined to the answers or evaluated again.
 
     Items missing from a batch's answer are asked for one by one. Labels outside the domain fail
     as ``unknown_label``. Ids within a batch should be distinct; rows that repeat one get the same label.
     """
-    hinted = "hint" in items.columns
+    names = ["id", "text", *["hint"] * ("hint" in items.columns)]
+    sent = items.select(*names, *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "label", "failure")] + [T.StructField(c, items.schema[c].dataType) for c in keep])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for f in frames:
             out = []
-            for at in range(0, len(f), batch):
-                part = [{"id": x["id"], "text": x["text"] or "", **({"hint": x["hint"]} if hinted else {})} for x in f.iloc[at : at + batch].to_dict("records")]
+            for at in range(0, f.num_rows, batch):
+                part = [{**x, "text": x["text"] or ""} for x in f.slice(at, batch).select(names).to_pylist()]
                 got, why = _ask(provider, part, retry.batch, retry.wait)
                 for x in part:
                     label, reason = got.get(x["id"]), why
@@ -94,9 +99,10 @@ def label_batches(items: DataFrame, provider: LabelProvider, retry: Retry = Retr
                         out.append((x["id"], None, "unknown_label"))
                     else:
                         out.append((x["id"], label, None))
-            yield pd.DataFrame(out, columns=["id", "label", "failure"])
+            told = [pa.array([r[i] for r in out], pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(told + f.columns[len(names) :], names=schema.names)
 
-    return items.select("id", "text", *["hint"] * hinted).mapInPandas(run, "id string, label string, failure string")
+    return sent.mapInArrow(run, schema)
 
 
 def bpe_token_count(text: Column, encoding) -> Column:

@@ -37,6 +37,16 @@ def lexicon_rule() -> Column:
     )
 
 
+def ruled(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that the lexicon rule decides, with its ``label``.
+
+    Rows without one are dropped by a generator: a filter on the label would be pushed down to the scan, with the
+    rule evaluated for each mention of a count in it, and again for the label.
+    """
+    said = F.explode(F.filter(F.array(lexicon_rule()), lambda x: x.isNotNull()))
+    return lexicon_counts(df, text).select(*df.columns, said.alias("label"))
+
+
 def token_tags(texts: DataFrame, word_lid: DataFrame) -> DataFrame:
     """``(id, text)`` and ``(word, lang, prob)`` to a row a token: ``id, pos, word, tag``.
 

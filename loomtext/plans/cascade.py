@@ -119,16 +119,17 @@ def new_cache_rows(labelled: DataFrame) -> DataFrame:
 def recheck(labelled: DataFrame, cache: DataFrame, provider: LabelProvider, cache_share: float = 0.02, rule_share: float = 0.08, seed: str = "recheck") -> tuple[DataFrame, DataFrame]:
     """Sampled cheap labels against the model: their outcomes, and the cache with mismatches replaced.
 
-    Rows that are already written don't change.
+    Rows that are already written don't change. The sample is drawn and asked once: expected label and content key
+    go along with its rows, and what is stored has no texts.
     """
     from loomtext.operators.sampling import draw
 
     share = F.when(F.col("origin") == "cache", cache_share).when(F.col("origin") == "rule", rule_share).otherwise(0.0)
-    picked = labelled.where(draw(seed, F.col("id")) < share * F.lit(2.0**32))
-    told = _stored(label_batches(picked.select("id", "text"), provider)).select(F.col("id").alias("recheck_id"), F.col("label").alias("language"))
-    outcomes = joins.recheck_outcomes(picked.select(F.col("id").alias("recheck_id"), F.col("label").alias("expected")), told)
-    wrong = outcomes.where("outcome = 'mismatch'").join(picked.select(F.col("id").alias("recheck_id"), X.hash_key(F.col("text")).alias("h")), "recheck_id")
-    return outcomes, joins.upsert_cache(cache, wrong.select("h", F.col("language").alias("label"), "recheck_id"), "recheck_id")
+    picked = labelled.where(draw(seed, F.col("id")) < share * F.lit(2.0**32)).select("id", "text", F.col("label").alias("expected"), X.hash_key(F.col("text")).alias("h"))
+    told = _stored(label_batches(picked, provider, keep=("expected", "h"))).select(F.col("id").alias("recheck_id"), "expected", F.col("label").alias("language"), "h")
+    outcomes = told.select("recheck_id", "expected", "language", joins.recheck_outcome().alias("outcome"), "h")
+    wrong = outcomes.where("outcome = 'mismatch'").select("h", F.col("language").alias("label"), "recheck_id")
+    return outcomes.drop("h"), joins.upsert_cache(cache, wrong, "recheck_id")
 
 
 def checkpoint_policy(done: int, total: int, near: int = 0) -> str:

@@ -164,6 +164,31 @@ def test_cascade(spark):
     assert cascade.checkpoint_policy(10, 10) == "restart" and cascade.checkpoint_policy(3, 10) == "resume"
 
 
+def test_recheck_evaluates_its_sample_once(spark):
+    """Labels are evaluated once a row, though outcomes and the cache are both read."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def label(t):
+        made.add(1)
+        return "Sheng"
+
+    texts = [f"text {i} é" for i in range(20)]
+    items = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string").repartition(2, "text")
+    labelled = items.select("id", "text", label("text").alias("label"), F.lit("rule").alias("origin"))
+    outcomes, renewed = cascade.recheck(labelled, spark.createDataFrame([], "h string, label string"), providers.HashProvider(), rule_share=1.0)
+    expected = {r.h: r.e for r in items.select(X.hash_key(F.col("text")).alias("h"), providers.hash_label(F.col("text")).alias("e")).collect()}
+    assert {r.h: r.label for r in renewed.collect()} == {h: e for h, e in expected.items() if e != "Sheng"}
+    assert outcomes.count() == 20 and outcomes.where("outcome = 'match'").count() == sum(e == "Sheng" for e in expected.values())
+    assert made.value == 20
+
+
+def test_kept_columns_come_back_whole(spark):
+    items = spark.createDataFrame([(str(i), f"t{i}", None if i % 2 else 2**62 + i) for i in range(90)], "id string, text string, n long")
+    got = providers.label_batches(items, providers.HashProvider(), keep=("n",)).where("label IS NOT NULL AND failure IS NULL")
+    assert _rows(got, "id", "n") == _rows(items, "id", "n")
+
+
 def test_presets_conserve_rows(spark):
     items = spark.createDataFrame([(str(i), f"it's text {i % 3}") for i in range(9)], "id string, text string")
     for name, preset in cascade.PRESETS.items():

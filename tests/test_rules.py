@@ -31,6 +31,13 @@ def test_lexicon_rule(spark):
     assert [got[i] for i in range(len(LEXICON))] == [x for _, x in LEXICON]
 
 
+def test_ruled_evaluates_the_rule_once(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LEXICON)], "i int, text string")
+    out = rules.ruled(df).where("label IS NOT NULL AND i >= 0")
+    assert sorted(map(tuple, out.collect())) == [(i, t, x) for i, (t, x) in enumerate(LEXICON) if x]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+
+
 @pytest.mark.parametrize(
     "en, sw, sh, label",
     [(0, 0, 0.2, None), (0.1, 0.1, 0.21, "Sheng"), (0, 0.7, 0.1, None), (0, 0.71, 0, "Swahili"), (0.81, 0.09, 0, "English"), (0.8, 0, 0, None), (0.81, 0.1, 0, None), (0.3, 0.4, 0, "English and Swahili"), (0.2, 0.4, 0, None), (0.3, 0.6, 0, None), (0.3, 0.3, 0.3, "English and Swahili")],
