@@ -124,7 +124,8 @@ def bpe_token_count(text: Column, encoding) -> Column:
 
 
 def corpus_word_lid(texts: DataFrame, tokens: Column) -> DataFrame:
-    """``(text, lang)`` to ``word, lang, prob``: each word's most frequent language and its share. Ties go to the first name."""
-    n = texts.select(F.explode(tokens).alias("word"), "lang").groupBy("word", "lang").agg(F.count("*").alias("n"))
+    """``(text, lang)`` to ``word, lang, prob, n``: each word's most frequent language, its share, and occurrences in all. Ties go to the first name."""
+    # The filter holds for all tokens. Joins would infer it, and a plan that reads this twice would count the words twice.
+    n = texts.select(F.explode(tokens).alias("word"), "lang").where("word IS NOT NULL").groupBy("word", "lang").agg(F.count("*").alias("n"))
     best = n.groupBy("word").agg(F.sum("n").alias("total"), F.min_by(F.struct("lang", "n"), F.struct(-F.col("n"), "lang")).alias("b"))
-    return best.select("word", F.col("b.lang").alias("lang"), (F.col("b.n") / F.col("total")).alias("prob"))
+    return best.select("word", F.col("b.lang").alias("lang"), (F.col("b.n") / F.col("total")).alias("prob"), F.col("total").alias("n"))

@@ -57,26 +57,50 @@ def token_tags(texts: DataFrame, word_lid: DataFrame) -> DataFrame:
     return tok.join(_tagged_words(tok, word_lid), "word").select("id", "pos", "word", "tag")
 
 
-def _tagged_words(tok: DataFrame, word_lid: DataFrame) -> DataFrame:
+def _tag() -> Column:
     sure = F.coalesce(F.col("prob"), F.lit(0.0)) > 0.7
-    tag = (
+    return (
         F.when(F.col("word").isin(*RATIO_SHENG), "Sheng")
         .when(F.col("word").isin(*RATIO_SWAHILI), "Swahili")
         .when(sure & (F.col("lang") == "en"), "English")
         .when(sure & (F.col("lang") == "sw"), "Swahili")
         .otherwise("Unknown")
     )
-    return tok.select("word").distinct().join(word_lid, "word", "left").select("word", tag.alias("tag"))
+
+
+def _tagged_words(tok: DataFrame, word_lid: DataFrame) -> DataFrame:
+    return tok.select("word").distinct().join(word_lid, "word", "left").select("word", _tag().alias("tag"))
+
+
+#: The most frequent words, of so many occurrences at least, are looked up in place: at most so many.
+COMMON, OFTEN = 50_000, 100
+
+
+def _common_words(word_lid: DataFrame) -> DataFrame:
+    """``word, tag`` of the listed words and, where ``word_lid`` counts occurrences (``n``), of the most frequent others."""
+    listed = word_lid.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, (*RATIO_SHENG, *RATIO_SWAHILI)))).alias("word"))
+    listed = listed.select("word", F.when(F.col("word").isin(*RATIO_SHENG), "Sheng").otherwise("Swahili").alias("tag"))
+    if "n" not in word_lid.columns:
+        return listed
+    often = word_lid.where(F.col("n") >= OFTEN).orderBy(F.desc("n")).limit(COMMON)
+    # Listed words are left out behind the limit: before it, the filter would go down to the tokens, and the words be counted anew for it.
+    return listed.unionByName(often.where(~F.col("word").isin(*RATIO_SHENG, *RATIO_SWAHILI)).select("word", _tag().alias("tag")))
 
 
 def token_ratios(texts: DataFrame, word_lid: DataFrame) -> DataFrame:
     """``id, n_tokens, en_ratio, sw_ratio, sh_ratio`` over all tokens, repeats included; a row for each text.
 
-    Repeats of a word in a text are counted before the join, so a frequent word is a row a text.
+    Common words, most of all tokens, are tagged in place and summed by text before anything is dealt; only the others
+    are joined, once for each text and distinct word, so no word's rows are many.
     """
     tok = texts.select("id", F.explode(X.tokens(F.coalesce(F.col("text"), F.lit("")))).alias("word"))
-    per = tok.groupBy("id", "word").agg(F.count("*").alias("n"))
-    tagged = per.join(_tagged_words(per, word_lid), "word")
+    known = tok.join(F.broadcast(_common_words(word_lid).withColumnRenamed("tag", "_known")), "word", "left")
+    # A common word gives way to its tag: tags have capitals, tokens none. Tags meet no word; with a number they are spread.
+    per = known.groupBy("id", F.coalesce("_known", "word").alias("key")).agg(F.count("*").alias("n"))
+    summed = F.col("key").isin("Sheng", "Swahili", "English", "Unknown")
+    per = per.withColumn("word", F.when(summed, F.concat("key", F.hash("id").cast("string"))).otherwise(F.col("key")))
+    rest = word_lid.select("word", _tag().alias("tag")).where("tag <> 'Unknown'")
+    tagged = per.join(rest, "word", "left").select("id", "n", F.when(summed, F.col("key")).otherwise(F.col("tag")).alias("tag"))
     n = lambda t: F.sum(F.when(F.col("tag") == t, F.col("n")).otherwise(0))
     sums = tagged.groupBy("id").agg(F.sum("n").alias("n_tokens"), n("English").alias("en"), n("Swahili").alias("sw"), n("Sheng").alias("sh"))
     out = texts.select("id").join(sums, "id", "left")

@@ -78,6 +78,24 @@ def test_token_tags_and_ratios(spark):
     assert got == [(1, 5, 0.4, 0.4, 0.2), (2, 0, 0.0, 0.0, 0.0), (3, 0, 0.0, 0.0, 0.0)]
 
 
+def test_ratios_with_common_words_tagged_in_place(spark, monkeypatch):
+    """Whichever words are common; a repeated id sums its texts, a null one has none; names of tags and listed words as words."""
+    rng = random.Random(2)
+    words = ["bro", "Mtoto", "house", "Unknown", "english", "it's", "rare", "é", "calle", "nyumba", "'"]
+    texts = spark.createDataFrame([(i // 2 if i < 20 else i, " ".join(rng.choices(words, range(11, 0, -1), k=rng.randint(0, 40)))) for i in range(60)] + [(None, "bro house"), (99, None)], "id long, text string")
+    lid = spark.createDataFrame([("house", "en", 0.9, 300), ("unknown", "en", 0.7, 200), ("english", "sw", 0.8, 150), ("it's", "en", 1.0, 120), ("rare", "sw", 1.0, 99), ("bro", "en", 1.0, 400)], "word string, lang string, prob double, n long")
+    want, seen = {}, {"house": "en", "english": "sw", "it's": "en", "rare": "sw", "bro": "sh", "mtoto": "sw", "nyumba": "sw"}
+    for r in texts.collect():
+        t = [seen.get(w, "") for w in "".join(c if c in "abcdefghijklmnopqrstuvwxyz'" else " " for c in (r.text or "").lower()).split()] if r.id is not None else []
+        want.setdefault(r.id, []).append(t)
+    want = sorted(((i, n := len(t := sum(ts, [])), *[t.count(c) / max(n, 1) for c in ("en", "sw", "sh")]) for i, ts in want.items() for _ in ts), key=repr)
+    for most, often in ((50_000, 100), (2, 1), (0, 1)):
+        monkeypatch.setattr(rules, "COMMON", most)
+        monkeypatch.setattr(rules, "OFTEN", often)
+        assert sorted(map(tuple, rules.token_ratios(texts, lid).collect()), key=repr) == want
+    assert sorted(map(tuple, rules.token_ratios(texts, lid.drop("n")).collect()), key=repr) == want
+
+
 def test_clean(spark):
     raw = spark.createDataFrame([("a", "  hi "), ("b", "[Deleted]"), ("c", "[removed]"), ("d", "   "), ("e", None), (None, "no id")], "id string, body string")
     assert sorted(map(tuple, clean.clean_comments(raw).collect())) == [("", "no id"), ("a", "hi")]
