@@ -69,6 +69,25 @@ def _ask(provider: LabelProvider, items: list[dict], attempts: int, wait: float)
     return {}, why
 
 
+#: Bytes of texts that cross to a worker at once: what its memory follows, whatever the rows' number and length.
+ARROW_BYTES = "8m"
+
+
+def _in_whole_batches(frames: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in frames of a multiple of ``size`` rows, but for the last: a provider's batches don't end where a frame does."""
+    held = None
+    for f in frames:
+        if f.num_rows == 0:
+            continue
+        held = f if held is None or held.num_rows == 0 else pa.Table.from_batches([held, f]).combine_chunks().to_batches()[0]
+        whole = held.num_rows - held.num_rows % size
+        if whole:
+            yield held.slice(0, whole)
+            held = held.slice(whole)
+    if held is not None and held.num_rows:
+        yield held
+
+
 def label_batches(items: DataFrame, provider: LabelProvider, retry: Retry = Retry(), batch: int = 40, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id string, text string)`` to ``id, label, failure``: every row comes back, with a label or a reason.
 
@@ -77,13 +96,15 @@ def label_batches(items: DataFrame, provider: LabelProvider, retry: Retry = Retr
 
     Items missing from a batch's answer are asked for one by one. Labels outside the domain fail
     as ``unknown_label``. Ids within a batch should be distinct; rows that repeat one get the same label.
+    Sets the session's ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
+    items.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     names = ["id", "text", *["hint"] * ("hint" in items.columns)]
     sent = items.select(*names, *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "label", "failure")] + [T.StructField(c, items.schema[c].dataType) for c in keep])
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for f in frames:
+        for f in _in_whole_batches(frames, batch):
             out = []
             for at in range(0, f.num_rows, batch):
                 part = [{**x, "text": x["text"] or ""} for x in f.slice(at, batch).select(names).to_pylist()]

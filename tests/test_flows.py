@@ -3,6 +3,7 @@
 import gzip
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +184,24 @@ def test_recheck_evaluates_its_sample_once(spark):
     assert made.value == 20
 
 
+def test_provider_batches_are_whole_across_frames(spark, monkeypatch):
+    """Frames are bounded by bytes, and a provider's batches don't end with them."""
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting(providers.HashProvider):
+        def label(self, batch):
+            calls.add(1)
+            return super().label(batch)
+
+    items = spark.createDataFrame([(str(i), "é" * 2000) for i in range(43)], "id string, text string").coalesce(1)
+    monkeypatch.setattr(providers, "ARROW_BYTES", "40k")
+    got = providers.label_batches(items, Counting(), batch=8).where("label IS NOT NULL").collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert sorted(int(r.id) for r in got) == list(range(43)) and calls.value == 6
+    frames = [pa.RecordBatch.from_pydict({"x": list(range(k, k + n))}) for k, n in ((0, 3), (3, 0), (3, 9), (12, 1))]
+    assert [f.column(0).to_pylist() for f in providers._in_whole_batches(iter(frames), 4)] == [list(range(12)), [12]]
+
+
 def test_kept_columns_come_back_whole(spark):
     items = spark.createDataFrame([(str(i), f"t{i}", None if i % 2 else 2**62 + i) for i in range(90)], "id string, text string, n long")
     got = providers.label_batches(items, providers.HashProvider(), keep=("n",)).where("label IS NOT NULL AND failure IS NULL")
